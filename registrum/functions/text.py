@@ -9,6 +9,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # The characters that count as blanks at the ends of a text.
 BLANKS = (
@@ -106,12 +107,17 @@ def name_key(c: Column) -> Column:
     return F.regexp_replace(F.translate(F.lower(strip(c)), source, target), r"\p{Mn}", "")
 
 
-@F.pandas_udf("string")
-def _nfkd_key(s: pd.Series) -> pd.Series:
-    marks = {i: None for i in range(sys.maxunicode) if unicodedata.combining(chr(i))}
-    return s.str.strip().str.lower().str.normalize("NFKD").str.translate(marks)
+@lru_cache(maxsize=1)
+def _combining_marks() -> dict[int, None]:
+    return {i: None for i in range(sys.maxunicode) if unicodedata.combining(chr(i))}
 
 
 def name_key_exact(c: Column) -> Column:
     """``name_key`` for scripts outside the Latin, Greek and Cyrillic blocks (Arrow UDF)."""
-    return _nfkd_key(c)
+
+    @F.pandas_udf(StringType())
+    def key(s: pd.Series) -> pd.Series:
+        bare = s.str.strip().str.lower().str.normalize("NFKD")
+        return bare.str.translate(_combining_marks())
+
+    return key(c)
