@@ -14,6 +14,7 @@ from registrum.operators.joins import BROADCAST_ROWS, lookup_join
 from registrum.specs import TableSpec
 
 VIOLATED = "_violated"
+GIVEN = "_given"
 SAMPLE = 10
 
 log = logging.getLogger(__name__)
@@ -94,7 +95,10 @@ def require_members(df: DataFrame, rules: Sequence[Rule]) -> None:
 def relax_members(
     df: DataFrame, rules: Sequence[Rule], broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Sets codes outside their domain to null and lists the columns in ``_violated``."""
+    """Sets codes outside their domain to null and lists the columns in ``_violated``.
+
+    ``_given`` keeps the codes as they came, for the quarantine records.
+    """
     order = df.columns
     known = {}
     for rule in rules:
@@ -117,8 +121,14 @@ def relax_members(
     bad = {c: F.col(c).isNotNull() & ~k for c, k in known.items()}
     listed = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])
     kept = [F.when(~bad[c], F.col(c)).alias(c) if c in bad else F.col(c) for c in order]
-    none = F.array().cast("array<string>")
-    return df.select(*kept, (F.array_compact(listed) if bad else none).alias(VIOLATED))
+    if not bad:
+        return without_violations(df)
+    given = F.struct(*bad)
+    return df.select(*kept, given.alias(GIVEN), F.array_compact(listed).alias(VIOLATED))
+
+
+def without_violations(df: DataFrame) -> DataFrame:
+    return df.withColumn(VIOLATED, F.array().cast("array<string>"))
 
 
 def check_members(
@@ -130,7 +140,7 @@ def check_members(
     if not strict:
         return relax_members(df, rules, broadcast_rows)
     require_members(df, rules)
-    return df.withColumn(VIOLATED, F.array().cast("array<string>"))
+    return without_violations(df)
 
 
 def require_loaded(domains: Mapping[str, DataFrame | None], strict: bool = True) -> list[str]:
