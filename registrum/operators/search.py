@@ -42,21 +42,41 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, pieces)))
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Shared trigrams over all trigrams of both texts; 0 when there are none."""
-    ta, tb = trigrams(a), trigrams(b)
+def trigram_similarity(ta: Column, tb: Column) -> Column:
+    """Shared trigrams over all trigrams of both sides; 0 when there are none."""
     shared = F.size(F.array_intersect(ta, tb))
-    every = F.size(F.array_union(ta, tb))
+    every = F.size(ta) + F.size(tb) - shared
     return F.when(every > 0, shared / every).otherwise(F.lit(0.0))
 
 
+def similarity(a: Column, b: Column) -> Column:
+    return trigram_similarity(trigrams(a), trigrams(b))
+
+
 def similar_names(
     df: DataFrame, column: str, terms: Sequence[str], threshold: float = SIMILARITY
 ) -> DataFrame:
-    """Rows similar to any of the given terms, one row per match: a scan, no join."""
-    exploded = df.withColumn("term", F.explode(F.array(*[F.lit(t) for t in terms])))
-    scored = exploded.withColumn("similarity", similarity(F.col(column), F.col("term")))
-    return scored.where(F.col("similarity") >= threshold)
+    """Rows similar to any of the given terms, one row per match: a scan, no join.
+
+    Trigrams of a row are taken once and scored against those of the terms, which are
+    constants of the plan.
+    """
+    wanted = F.array(
+        *[F.struct(F.lit(t).alias("term"), trigrams(F.lit(t)).alias("tri")) for t in terms]
+    )
+
+    def scored(t: Column) -> Column:
+        return F.struct(
+            t["term"].alias("term"),
+            trigram_similarity(F.col("_tri"), t["tri"]).alias("similarity"),
+        )
+
+    matches = F.filter(F.transform(wanted, scored), lambda m: m["similarity"] >= threshold)
+    return (
+        df.withColumn("_tri", trigrams(F.col(column)))
+        .select(*df.columns, F.explode(matches).alias("_match"))
+        .select(*df.columns, "_match.*")
+    )
 
 
 def has_all_codes(df: DataFrame, column: str, codes: Sequence[int]) -> DataFrame:
