@@ -73,9 +73,13 @@ def foreign_codes(df: DataFrame, rule: Rule) -> DataFrame:
     )
     if rule.domain is None:
         return counted.where(~F.col("code").isin(*rule.allowed))
-    kind = df.schema[rule.column].dataType
-    keys = rule.domain.select(F.col(rule.key).try_cast(kind).alias("code"))
-    return counted.join(keys, "code", "left_anti")
+    keys = rule.domain.select(F.col(rule.key).alias("_key"))
+    kind = keys.schema["_key"].dataType
+    return (
+        counted.withColumn("_key", F.col("code").try_cast(kind))
+        .join(keys, "_key", "left_anti")
+        .select("code", "rows")
+    )
 
 
 def require_members(df: DataFrame, rules: Sequence[Rule]) -> None:
@@ -97,6 +101,7 @@ def relax_members(
 ) -> DataFrame:
     """Sets codes outside their domain to null and lists the columns in ``_violated``.
 
+    Codes are compared in the type of the domain key, so text '013' is code 13.
     ``_given`` keeps the codes as they came, for the quarantine records.
     """
     order = df.columns
@@ -108,15 +113,16 @@ def relax_members(
         if rule.domain is None:
             known[column] = F.col(column).isin(*rule.allowed)
             continue
-        mark = f"_known_{column}"
-        kind = df.schema[column].dataType
-        keys = (
-            rule.domain.select(F.col(rule.key).try_cast(kind).alias(column))
-            .dropna()
-            .distinct()
-            .withColumn(mark, F.lit(True))
+        mark, key = f"_known_{column}", f"_key_{column}"
+        keys = domain_keys(rule.domain, rule.key).withColumnRenamed(rule.key, key)
+        kind = keys.schema[key].dataType
+        df = lookup_join(
+            df.withColumn(key, F.col(column).try_cast(kind)),
+            keys.withColumn(mark, F.lit(True)),
+            [key],
+            "left",
+            broadcast_rows,
         )
-        df = lookup_join(df, keys, [column], "left", broadcast_rows)
         known[column] = F.col(mark).isNotNull()
     bad = {c: F.col(c).isNotNull() & ~k for c, k in known.items()}
     listed = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])

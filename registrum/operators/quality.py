@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from registrum.functions.codes import array_literal
 from registrum.operators.chunks import CHUNK
 from registrum.operators.membership import GIVEN, VIOLATED
-from registrum.operators.repair import BEFORE, INVALID_ID, data_columns
+from registrum.operators.repair import BEFORE, INVALID_ID, OVERFLOW, data_columns
 from registrum.options import Options
 from registrum.specs import TableSpec
 
@@ -59,10 +59,13 @@ def telemetry(
     nulls, deltas, changes = {}, {}, {}
     if level != "none":
         for i, c in enumerate(columns):
-            is_null = F.col(c).isNull().cast("int")
-            was_null = F.col(f"{BEFORE}.{c}").isNull().cast("int") if c in before else F.lit(0)
+            # A column that no step touched keeps its nulls.
+            is_null = F.col(c).isNull()
+            more = F.lit(0)
+            if c in before:
+                more = is_null.cast("int") - F.col(f"{BEFORE}.{c}").isNull().cast("int")
             nulls[c], deltas[c] = f"_n{i}", f"_d{i}"
-            aggs += [F.sum(is_null).alias(nulls[c]), F.sum(is_null - was_null).alias(deltas[c])]
+            aggs += [F.count_if(is_null).alias(nulls[c]), F.sum(more).alias(deltas[c])]
     if level == "aggressive":
         for i, c in enumerate(t for t in spec.tracked if t in columns and t in before):
             changes[c] = f"_c{i}"
@@ -159,7 +162,8 @@ def missing_critical(spec: TableSpec, columns: Sequence[str]) -> Column:
 def row_records(
     df: DataFrame, spec: TableSpec, skip_invalid: bool = False, chunk: str = CHUNK
 ) -> DataFrame:
-    """Quarantine records of rows: missing critical fields, invalid ids, foreign codes.
+    """Quarantine records of rows: missing critical fields, invalid ids, foreign codes,
+    values that do not fit their target type.
 
     One pass: the reasons of a row are collected in an array and exploded. Rows with missing
     critical fields stay in the load. ``row`` is the row as JSON, for foreign codes with the
@@ -180,6 +184,7 @@ def row_records(
         return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
     kept = ~F.col(INVALID_ID) if skip_invalid else F.lit(True)
+    misfits = F.col(OVERFLOW) if OVERFLOW in df.columns else names([])
     found = F.array_compact(
         F.array(
             F.when(
@@ -193,6 +198,7 @@ def row_records(
                 kept & (F.size(VIOLATED) > 0),
                 F.transform(VIOLATED, lambda c: reason("fk_violation", F.array(c), now)),
             ),
+            F.when(kept & (F.size(misfits) > 0), F.array(reason("type_overflow", misfits, now))),
         )
     )
     return (

@@ -98,9 +98,10 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not c.startswith("_")]
 
 
-def with_before(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def with_before(df: DataFrame, columns: list[str]) -> DataFrame:
     """Keeps the present values in one struct, for the counts of the telemetry."""
-    return df.withColumn(BEFORE, F.struct(*(columns or data_columns(df))))
+    kept = F.struct(*columns) if columns else F.struct(F.lit(None).cast("string").alias("_"))
+    return df.withColumn(BEFORE, kept)
 
 
 def apply_cleaners(df: DataFrame, rules: Mapping[str, Cleaner]) -> DataFrame:
@@ -125,13 +126,18 @@ def flag_invalid_ids(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
     return df.withColumn(INVALID_ID, flag)
 
 
-def repair(df: DataFrame, spec: TableSpec, level: str = "basic") -> DataFrame:
+def repair(
+    df: DataFrame, spec: TableSpec, level: str = "basic", extra: tuple[str, ...] = ()
+) -> DataFrame:
     """Hook of the table, then its cleaners, then the id flag.
 
-    Adds ``_before`` (values after the hook) and ``_invalid_id``.
+    Adds ``_invalid_id`` and ``_before``: the values after the hook of the columns that have
+    a cleaner, and of ``extra`` columns that a later step may fill.
     """
     hooked = spec.hook(df) if spec.hook else df
-    cleaned = apply_cleaners(with_before(hooked), profile(spec.name, level))
+    rules = profile(spec.name, level)
+    touched = [c for c in (*rules, *extra) if c in hooked.columns]
+    cleaned = apply_cleaners(with_before(hooked, touched), rules)
     return flag_invalid_ids(cleaned, () if level == "none" else spec.id_parts)
 
 

@@ -35,7 +35,7 @@ def write_json_lines(
     if daily:
         day = run_date or datetime.now(timezone.utc).strftime("%Y%m%d")
         writer = df.withColumn(RUN_DATE, F.lit(day))
-    out = writer.write.mode("append")
+    out = writer.write.mode("append").option("ignoreNullFields", "false")
     if max_bytes:
         out = out.option("maxRecordsPerFile", records_per_file(df, max_bytes))
     if daily:

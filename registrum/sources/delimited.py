@@ -107,7 +107,7 @@ def decode_lines(lines: DataFrame, default: str = "ISO-8859-1") -> DataFrame:
     The verdicts are one row per file; rows are counted per file before the shuffle.
     """
     verdict = lines.groupBy(FILE).agg(F.bool_and(F.is_valid_utf8(LINE)).alias("_utf8"))
-    plain = F.regexp_replace(F.col(LINE), "^﻿", "")
+    plain = F.regexp_replace(F.col(LINE), "^\ufeff", "")
     other = F.decode(F.col(LINE).cast("binary"), default)
     text = F.when(F.col("_utf8"), plain).otherwise(other)
     return lines.join(verdict, FILE).withColumn(LINE, text).drop("_utf8")
