@@ -34,8 +34,13 @@ def as_text(df: DataFrame, name: str) -> Column:
 
 
 def changed(df: DataFrame, name: str) -> Column:
-    """Whether the repair changed the value; null to null is no change."""
-    return ~as_text(df, f"{BEFORE}.{name}").eqNullSafe(as_text(df, name))
+    """Whether the repair changed the value. Null to null is no change, nor is text that
+    became the number it spells."""
+    before = as_text(df, f"{BEFORE}.{name}")
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        before = F.coalesce(before.try_cast(kind).cast("string"), before)
+    return ~before.eqNullSafe(as_text(df, name))
 
 
 def _count_map(counts: dict[str, str]) -> Column:

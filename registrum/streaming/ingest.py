@@ -17,7 +17,7 @@ from registrum.operators.chunks import CHUNK
 from registrum.operators.profile import column_stats, totals
 from registrum.options import Options
 from registrum.plans.tables import Maps, build_table
-from registrum.sources.delimited import csv_options, tokens_to_null, with_corrupt
+from registrum.sources.delimited import csv_options, tokens_to_null, well_formed, with_corrupt
 from registrum.specs import TableSpec
 
 BATCH = "batch_id"
@@ -34,7 +34,8 @@ def stream_table(
     reader = spark.readStream.schema(with_corrupt(spec.read_schema())).options(**csv_options(opts))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = tokens_to_null(reader.csv(folder), spec.source_columns, opts.na_tokens)
+    rows = well_formed(reader.csv(folder), len(spec.source_columns))
+    rows = tokens_to_null(rows, spec.source_columns, opts.na_tokens)
     return rows.select(
         *spec.source_columns, *[F.lit(None).cast("string").alias(c) for c in spec.derived]
     )
@@ -50,7 +51,7 @@ def ingest(
     maps: Maps = Maps(),
 ) -> StreamingQuery:
     """Runs all available batches; a gated batch is recorded and withheld, and the stream
-    goes on. ``domains`` are read again for every batch."""
+    goes on. ``domains`` are static tables."""
     opts = replace(opts, strict_membership=False)
 
     def load(batch: DataFrame, batch_id: int) -> None:
