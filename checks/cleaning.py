@@ -395,7 +395,7 @@ def repair_regimes(t: Tables) -> DataFrame:
           CASE WHEN length(cep) > 8 THEN 'cep' END,
           CASE WHEN length(ddd_1) > 4 THEN 'ddd_1' END,
           CASE WHEN length(telefone_1) > 9 THEN 'telefone_1' END],
-          x -> x IS NOT NULL), ',') AS misfits
+          lambda x: x IS NOT NULL), ',') AS misfits
         FROM (SELECT * REPLACE (concat('x', ddd_1, 'x') AS ddd_1, concat(telefone_1, cnpj_dv)
           AS telefone_1) FROM rep_basic)""",
 )

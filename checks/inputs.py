@@ -19,10 +19,18 @@ def lp(x: str, n: int) -> str:
     return f"lpad({text(x)}, {n}, '0')"
 
 
-def check_digit(x: str, weights: tuple[int, ...]) -> str:
-    total = " + ".join(
+def digit_sum(x: str, weights: tuple[int, ...]) -> str:
+    return " + ".join(
         f"CAST(substr({x}, {i}, 1) AS INT) * {w}" for i, w in enumerate(weights, start=1)
     )
+
+
+def made_digit(x: str, weights: tuple[int, ...]) -> str:
+    return f"((11 - ({digit_sum(x, weights)}) % 11) % 11 % 10)"
+
+
+def check_digit(x: str, weights: tuple[int, ...]) -> str:
+    total = digit_sum(x, weights)
     return f"(CASE WHEN ({total}) % 11 < 2 THEN 0 ELSE 11 - ({total}) % 11 END)"
 
 
@@ -39,8 +47,8 @@ ESTAB_STAGES = [
         "ph": f"{lp('900000000 + k % 99999999', 9)}",
         "zip": f"{lp('c * 7919 % 100000000', 8)}",
     },
-    {"b13": f"concat(b12, {text(check_digit('b12', COMPANY_WEIGHTS[0]))})"},
-    {"b14": f"concat(b13, {text(check_digit('b13', COMPANY_WEIGHTS[1]))})"},
+    {"b13": f"concat(b12, {text(made_digit('b12', COMPANY_WEIGHTS[0]))})"},
+    {"b14": f"concat(b13, {text(made_digit('b13', COMPANY_WEIGHTS[1]))})"},
     {
         "k": "k",
         "cnpj_basico": "CASE WHEN k % 41 = 0 THEN substr(b12, 1, 5) "
@@ -75,8 +83,8 @@ ESTAB_STAGES = [
         f"ELSE {text('11 + c % 80')} END",
         "telefone_1": "CASE WHEN k % 53 = 0 THEN '123' WHEN k % 3 = 0 THEN "
         "concat(substr(ph, 1, 5), '-', substr(ph, 6, 4)) ELSE ph END",
-        # All addresses of the first thousand rows are blank: their chunk must be gated.
-        "correio_eletronico": "CASE WHEN k < 1000 THEN ' ' WHEN k % 13 = 0 THEN 'bad@@mail' "
+        # All addresses of the first thousand rows are bad: their chunk must be gated.
+        "correio_eletronico": "CASE WHEN k < 1000 THEN 'sem email' WHEN k % 13 = 0 THEN 'bad@@mail' "
         "WHEN k % 17 = 0 THEN '' WHEN k % 19 = 0 THEN 'a..b@x.com' "
         f"WHEN k % 5 = 0 THEN concat('User', {text('c')}, '@Mail', {text('k % 9')}, "
         f"'.Example.com') ELSE concat('user', {text('c')}, '@mail', {text('k % 9')}, "
@@ -118,8 +126,8 @@ SOCIOS_STAGES = [
         "n": "l_linenumber",
         "b9": lp("l_orderkey * 6151 % 1000000000", 9),
     },
-    {"b10": f"concat(b9, {text(check_digit('b9', PERSON_WEIGHTS[0]))})"},
-    {"b11": f"concat(b10, {text(check_digit('b10', PERSON_WEIGHTS[1]))})"},
+    {"b10": f"concat(b9, {text(made_digit('b9', PERSON_WEIGHTS[0]))})"},
+    {"b11": f"concat(b10, {text(made_digit('b10', PERSON_WEIGHTS[1]))})"},
     {
         "o": "o",
         "n": "n",
@@ -240,7 +248,7 @@ def email_strict(x: str) -> str:
         f"AND regexp_full_match({local}, '[A-Za-z0-9._%+-]+') "
         f"AND {local} NOT LIKE '.%' AND {local} NOT LIKE '%.' AND {local} NOT LIKE '%..%' "
         f"AND len({labels}) >= 2 AND length({labels}[-1]) >= 2 "
-        f"AND len(list_filter({labels}, l -> NOT regexp_full_match(l, '[a-z0-9-]{{1,63}}') "
+        f"AND len(list_filter({labels}, lambda l: NOT regexp_full_match(l, '[a-z0-9-]{{1,63}}') "
         f"OR l LIKE '-%' OR l LIKE '%-')) = 0 "
         f"THEN concat({local}, '@', {dom}) END"
     )
@@ -274,18 +282,18 @@ def day(x: str) -> str:
 
 def token_list(x: str) -> str:
     """Trimmed parts of a list text, or null."""
-    parts = f"list_filter(list_transform(regexp_split_to_array({x}, '[;,]'), t -> trim(t)), t -> t <> '')"
+    parts = f"list_filter(list_transform(regexp_split_to_array({x}, '[;,]'), lambda t: trim(t)), lambda t: t <> '')"
     return f"CASE WHEN len({parts}) > 0 THEN {parts} END"
 
 
 def seven_digits(x: str) -> str:
     """Parts with seven digits, or null."""
-    codes = f"list_filter(list_transform({x}, t -> {digits('t')}), t -> length(t) = 7)"
+    codes = f"list_filter(list_transform({x}, lambda t: {digits('t')}), lambda t: length(t) = 7)"
     return f"CASE WHEN len({codes}) > 0 THEN {codes} END"
 
 
 def code_set(x: str) -> str:
-    return f"list_sort(list_distinct(list_transform({x}, t -> CAST(t AS INT))))"
+    return f"list_sort(list_distinct(list_transform({x}, lambda t: CAST(t AS INT))))"
 
 
 def literal(x: str) -> str:

@@ -295,7 +295,7 @@ def invalid_ids_skipped(t: Tables) -> DataFrame:
         array_to_string(list_filter([CASE WHEN {PAIS_BAD} THEN 'pais_codigo' END,
           CASE WHEN {MUN_BAD} THEN 'municipio_codigo' END,
           CASE WHEN {CNAE_BAD} THEN 'cnae_fiscal_principal_codigo' END],
-          x -> x IS NOT NULL), ',') AS violated FROM rep_basic""",
+          lambda x: x IS NOT NULL), ',') AS violated FROM rep_basic""",
 )
 def membership_relaxed(t: Tables) -> DataFrame:
     df = repair(t.raw_estab, ESTABLISHMENTS)

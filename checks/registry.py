@@ -10,6 +10,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import inputs
+from registrum.session import fresh_path
 
 
 @dataclass(frozen=True)
@@ -19,6 +20,9 @@ class Check:
     sql: str | None
 
 
+WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """The given tables and the text tables derived from them."""
 
@@ -36,7 +40,15 @@ class Tables:
         df = getattr(self, source)
         for stage in stages[:-1]:
             df = df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage.items()])
-        return df.selectExpr(*[f"{e} AS {n}" for n, e in stages[-1].items()])
+        df = df.selectExpr(*[f"{e} AS {n}" for n, e in stages[-1].items()])
+        if name in inputs.DOMAINS:
+            return df
+        # Written once per session, as a source that queries read column by column.
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in WRITTEN:
+            WRITTEN[key] = fresh_path(self.spark, f"checks/{name}")
+            df.write.parquet(WRITTEN[key])
+        return self.spark.read.schema(df.schema).parquet(WRITTEN[key])
 
     @cached_property
     def raw_estab(self) -> DataFrame:

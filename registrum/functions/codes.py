@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from registrum.functions.text import digits, strip
+from registrum.functions.text import digits, digits_of_length, once, strip
 
 
 def _or_null(items: Column) -> Column:
-    return F.when(F.size(items) > 0, items)
+    return once(items, lambda x: F.when(F.size(x) > 0, x))
 
 
 def activity_code(c: Column, length: int = 7) -> Column:
-    d = digits(c)
-    return F.when(F.length(d) == length, d.try_cast("int"))
+    return digits_of_length(c, length).try_cast("int")
 
 
 def split_list(c: Column) -> Column:
@@ -30,17 +29,22 @@ def codes_in(items: Column, length: int = 7) -> Column:
 
 def code_list(c: Column, length: int = 7) -> Column:
     """Codes of '{a,b}' (commas only) or 'a;b,c'."""
-    t = strip(c)
-    braced = t.startswith("{") & t.endswith("}") & (F.length(t) > 1)
-    parts = F.when(braced, F.split(t, ",")).otherwise(F.split(t, "[;,]"))
+    braced = r"(?s)^\{.*\}\z"
+    parts = once(
+        strip(c),
+        lambda t: F.when(t.rlike(braced), F.split(t, ",")).otherwise(F.split(t, "[;,]")),
+    )
     return codes_in(parts, length)
 
 
 def code_set(items: Column) -> Column:
     """Distinct codes in ascending order; one that is no integer makes the list null."""
     numbers = F.transform(items, lambda x: x.try_cast("int"))
-    whole = ~F.exists(numbers, lambda x: x.isNull())
-    return F.when(whole, _or_null(F.array_sort(F.array_distinct(numbers))))
+    in_order = F.array_sort(F.array_distinct(numbers))
+    return once(
+        in_order,
+        lambda x: F.when((F.size(x) > 0) & ~F.exists(x, lambda n: n.isNull()), x),
+    )
 
 
 def is_array_literal(c: Column) -> Column:

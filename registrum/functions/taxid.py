@@ -1,6 +1,6 @@
 """Tax ids of persons (11 digits) and companies (14 digits).
 
-The digit sums are unrolled over ``substring`` so that they stay in generated code.
+The digit sums are unrolled over ``substring``; the id itself is evaluated once.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from registrum.functions.text import digits, digits_of_length
+from registrum.functions.text import digits, digits_of_length, once
 
 # Weights of the digits before each of the two check digits.
 PERSON_WEIGHTS = (
@@ -36,11 +36,14 @@ def check_digit(c: Column, weights: tuple[int, ...]) -> Column:
 
 def _valid(c: Column, weights: tuple[tuple[int, ...], ...]) -> Column:
     n = len(weights[1]) + 1
-    shape = c.rlike(rf"^[0-9]{{{n}}}\z") & ~c.rlike(r"^(.)\1*\z")
-    sums = (_digit(c, n - 1) == check_digit(c, weights[0])) & (
-        _digit(c, n) == check_digit(c, weights[1])
-    )
-    return F.when(shape, sums).when(c.isNotNull(), F.lit(False))
+
+    def judge(x: Column) -> Column:
+        shape = x.rlike(rf"^[0-9]{{{n}}}\z") & (F.replace(x, F.substring(x, 1, 1), F.lit("")) != "")
+        first = _digit(x, n - 1) == check_digit(x, weights[0])
+        second = _digit(x, n) == check_digit(x, weights[1])
+        return F.when(shape, first & second).when(x.isNotNull(), F.lit(False))
+
+    return once(c, judge)
 
 
 def person_id_valid(c: Column) -> Column:
@@ -58,22 +61,24 @@ def full_id(*parts: Column) -> Column:
 
 def invalid_company_id(*parts: Column) -> Column:
     """True for a complete id with wrong check digits; incomplete ids are not judged."""
-    whole = full_id(*parts)
-    return (F.length(whole) == 14) & ~company_id_valid(whole)
+    return once(
+        full_id(*parts), lambda whole: (F.length(whole) == 14) & ~company_id_valid(whole)
+    )
 
 
 def person_id(c: Column) -> Column:
-    d = digits_of_length(c, 11)
-    return F.when(person_id_valid(d), d)
+    return once(digits_of_length(c, 11), lambda d: F.when(person_id_valid(d), d))
 
 
 def any_tax_id(c: Column) -> Column:
     """The digits of a valid person or company id, else null."""
-    d = digits(c)
-    valid = F.when(F.length(d) == 11, person_id_valid(d)).when(
-        F.length(d) == 14, company_id_valid(d)
-    )
-    return F.when(valid, d)
+
+    def judge(d: Column) -> Column:
+        person = (F.length(d) == 11) & person_id_valid(d)
+        company = (F.length(d) == 14) & company_id_valid(d)
+        return F.when(person | company, d)
+
+    return once(digits(c), judge)
 
 
 def mask_person_id(c: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -28,6 +29,15 @@ STATES = (
 EMAIL_BASIC = r"(?U)^[^\s@]+@[^\s@]+\.[^\s@]+$"
 
 
+def once(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(c)`` with ``c`` in the plan once.
+
+    Spark repeats an expression wherever a column built from it is used, and again in each
+    filter it pushes down. A check of 27 digits would repeat its input 27 times.
+    """
+    return F.get(F.transform(F.array(c), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 
@@ -46,8 +56,8 @@ def blank_to_null(c: Column) -> Column:
 
 
 def digits_of_length(c: Column, n: int) -> Column:
-    d = digits(c)
-    return F.when(F.length(d) == n, d)
+    whole = F.regexp_extract(digits(c), rf"^[0-9]{{{n}}}\z", 0)
+    return F.nullif(whole, F.lit(""))
 
 
 def state(c: Column, allowed: tuple[str, ...] = STATES) -> Column:
@@ -71,19 +81,29 @@ def email(c: Column) -> Column:
     return F.when(t.rlike(EMAIL_BASIC), t)
 
 
-_LABEL = "[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
-_LOCAL = r"^[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*\z"
-_DOMAIN = rf"^(?:{_LABEL}\.)+[a-z0-9][a-z0-9-]{{0,61}}[a-z0-9]\z"
+_LABEL = "[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+_LAST = "[A-Za-z0-9][A-Za-z0-9-]{0,61}[A-Za-z0-9]"
+EMAIL_STRICT = (
+    r"(?U)^[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*"
+    rf"@\s*(?:{_LABEL}\.)+{_LAST}\.*\z"
+)
 
 
 def email_strict(c: Column) -> Column:
-    """One '@'; dots only between local parts; a domain of two or more legal labels."""
+    """One '@'; dots only between local parts; a domain of two or more legal labels.
+
+    The domain becomes lower case and loses dots at its end.
+    """
     t = strip(c)
-    local = F.substring_index(t, "@", 1)
     domain = F.rtrim(F.lower(strip(F.substring_index(t, "@", -1))), F.lit("."))
-    one_at = F.length(t) - F.length(F.replace(t, F.lit("@"), F.lit(""))) == 1
-    legal = one_at & local.rlike(_LOCAL) & domain.rlike(_DOMAIN)
-    return F.when(legal, F.concat(local, F.lit("@"), domain))
+    clean = F.concat(F.substring_index(t, "@", 1), F.lit("@"), domain)
+    return F.when(t.rlike(EMAIL_STRICT), clean)
+
+
+def email_both(c: Column) -> Column:
+    """The basic rule, then the strict one: all lower case."""
+    t = F.lower(strip(c))
+    return F.when(t.rlike(EMAIL_BASIC) & t.rlike(EMAIL_STRICT), F.rtrim(t, F.lit(".")))
 
 
 @lru_cache(maxsize=1)

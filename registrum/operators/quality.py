@@ -170,7 +170,8 @@ def row_records(
     """Quarantine records of rows: missing critical fields, invalid ids, foreign codes,
     values that do not fit their target type.
 
-    One pass: the reasons of a row are collected in an array and exploded. Rows with missing
+    One pass: the reasons of a row are collected in an array and exploded (the outer form,
+    because Spark pushes a copy of the array into a filter for the inner one). Rows with missing
     critical fields stay in the load. ``row`` is the row as JSON, for foreign codes with the
     code already nulled.
     """
@@ -208,8 +209,8 @@ def row_records(
     )
     return (
         df.select(chunk, F.flatten(found).alias("_found"))
-        .where(F.size("_found") > 0)
-        .select(F.col(chunk).alias("chunk"), F.explode("_found").alias("_one"))
+        .select(F.col(chunk).alias("chunk"), F.explode_outer("_found").alias("_one"))
+        .where(F.col("_one").isNotNull())
         .select(
             F.lit(spec.table).alias("table"),
             F.lit(spec.name).alias("config"),

@@ -64,7 +64,7 @@ def _establishments(aggressive: bool) -> dict[str, Cleaner]:
     rules |= dict.fromkeys(NAME_COLUMNS, text.blank_to_null)
     rules |= dict.fromkeys(AREA_COLUMNS + PHONE_COLUMNS, text.digits_or_null)
     if aggressive:
-        rules["correio_eletronico"] = then(text.email, text.email_strict)
+        rules["correio_eletronico"] = text.email_both
         rules["cnae_fiscal_secundaria"] = then(codes.codes_in, codes.code_set)
         rules |= dict.fromkeys(AREA_COLUMNS, then(text.digits_or_null, contact.area_code))
         rules |= dict.fromkeys(PHONE_COLUMNS, then(text.digits_or_null, contact.phone))

@@ -41,14 +41,22 @@ def exchange_text(df: DataFrame) -> DataFrame:
     return df.select(*[text(f) for f in df.schema.fields])
 
 
-def write_exchange(df: DataFrame, path: str, allow_overwrite: bool = False) -> None:
+def write_exchange(
+    df: DataFrame, path: str, allow_overwrite: bool = False, encoding: str = "UTF-8"
+) -> None:
     """';' text without header; quotes doubled; null and '' are both empty."""
-    (
-        exchange_text(df)
-        .write.mode(save_mode(allow_overwrite))
-        .options(sep=";", header=False, quote='"', escape='"', nullValue="", emptyValue="")
-        .csv(path)
-    )
+    options = {
+        "sep": ";",
+        "header": False,
+        "quote": '"',
+        "escape": '"',
+        "nullValue": "",
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "encoding": encoding,
+    }
+    exchange_text(df).write.mode(save_mode(allow_overwrite)).options(**options).csv(path)
 
 
 def state_partition(state: Column, states: tuple[str, ...] = STATES) -> Column:
