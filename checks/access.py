@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from checks import inputs as sql
 from checks.cleaning import s
-from checks.integrity import typed
 from checks.registry import Tables, check
 from registrum.operators import search
 from registrum.operators.joins import balanced_join
 from registrum.operators.repair import repair
 from registrum.sinks.tables import clustered
-from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS, REGIMES
+from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS
 
 
 def companies(t: Tables) -> DataFrame:
@@ -132,9 +131,9 @@ def partners_of_company(t: Tables) -> DataFrame:
        UNION ALL SELECT 'partner', count(*) FROM raw_socios WHERE qualificacao_socio_codigo = '1'""",
 )
 def equality_filters(t: Tables) -> DataFrame:
-    estab = typed(t.raw_estab, ESTABLISHMENTS)
-    firms = typed(t.raw_empresas, COMPANIES)
-    socios = typed(t.raw_socios, PARTNERS)
+    estab = t.loaded["estabelecimentos"]
+    firms = t.loaded["empresas"]
+    socios = t.loaded["socios"]
     frames = {
         "state": search.where_equal(estab, uf="SP"),
         "city": search.where_equal(estab, municipio_codigo=9),
@@ -230,8 +229,8 @@ def code_containment(t: Tables) -> DataFrame:
          WHERE opcao_pelo_mei = 'S' AND length(cnpj_basico) = 8 GROUP BY cnpj_basico""",
 )
 def filtered_subsets(t: Tables) -> DataFrame:
-    active = search.active_establishments(typed(t.raw_estab, ESTABLISHMENTS))
-    mei = search.micro_entrepreneurs(typed(t.raw_simples, REGIMES))
+    active = search.active_establishments(t.loaded["estabelecimentos"])
+    mei = search.micro_entrepreneurs(t.loaded["simples"])
     both = active.select(F.lit("active").alias("kind"), "cnpj_basico").union(
         mei.select(F.lit("mei"), "cnpj_basico")
     )

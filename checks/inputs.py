@@ -86,7 +86,7 @@ ESTAB_STAGES = [
         # All addresses of the first thousand rows are bad: their chunk must be gated.
         "correio_eletronico": "CASE WHEN k < 1000 THEN 'sem email' WHEN k % 13 = 0 THEN 'bad@@mail' "
         "WHEN k % 17 = 0 THEN '' WHEN k % 19 = 0 THEN 'a..b@x.com' "
-        f"WHEN k % 5 = 0 THEN concat('User', {text('c')}, '@Mail', {text('k % 9')}, "
+        f"WHEN k % 10 = 0 THEN concat('User', {text('c')}, '@Mail', {text('k % 9')}, "
         f"'.Example.com') ELSE concat('user', {text('c')}, '@mail', {text('k % 9')}, "
         "'.example.com') END",
         "municipio_nome": f"CASE k % 4 WHEN 0 THEN concat('Município ', {text('c % 100')}) "
@@ -106,7 +106,8 @@ EMPRESAS_STAGES = [
         "k": "c_custkey",
         "cnpj_basico": lp("c_custkey", 8),
         "razao_social": "CASE WHEN c_custkey % 59 = 0 THEN '  ' "
-        "WHEN c_custkey % 61 = 0 THEN 'NULL' ELSE concat(' ', c_name) END",
+        "WHEN c_custkey % 61 = 0 THEN 'NULL' WHEN c_custkey % 5 = 0 THEN concat(' ', c_name) "
+        "ELSE c_name END",
         "natureza_juridica_codigo": text("c_nationkey % 7"),
         "qualificacao_responsavel": text("c_nationkey % 5"),
         "capital_social": "CASE WHEN c_custkey % 31 = 0 THEN 'abc' WHEN units >= 1000 THEN "
@@ -115,7 +116,8 @@ EMPRESAS_STAGES = [
         f"{lp('cents % 100', 2)}) END",
         "porte_empresa": "CASE c_custkey % 4 WHEN 0 THEN '01' WHEN 1 THEN '02' "
         "WHEN 2 THEN '03' ELSE '05' END",
-        "ente_federativo_responsavel": "CASE WHEN c_custkey % 7 = 0 THEN 'UNIÃO' ELSE '' END",
+        "ente_federativo_responsavel": "CASE WHEN c_custkey % 7 = 0 THEN 'UNIÃO' "
+        "WHEN c_custkey % 11 = 0 THEN ' ' ELSE NULL END",
         "_chunk": "CAST(floor(c_custkey / 1000) AS BIGINT) + 1",
     },
 ]

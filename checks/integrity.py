@@ -11,26 +11,10 @@ from checks.registry import Tables, check
 from registrum.operators.integrity import (
     Relation, backfill, foreign_key_report, orphan_keys, orphan_sample, primary_key_report,
 )
-from registrum.operators.membership import without_violations
-from registrum.operators.repair import conform, repair
+from registrum.operators.profile import row_counts
+from registrum.operators.repair import repair
 from registrum.plans.integrity import integrity_pass
-from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS, REGIMES, UNKNOWN_CODE, TableSpec
-
-
-def typed(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """A table as loaded, without the checks against its parents."""
-    out = conform(without_violations(repair(df, spec)), spec)
-    return out.select(*[c for c in spec.column_names if c in out.columns])
-
-
-def loaded_tables(t: Tables) -> dict[str, DataFrame]:
-    return {
-        **t.domains,
-        "empresas": typed(t.raw_empresas, COMPANIES),
-        "estabelecimentos": typed(t.raw_estab, ESTABLISHMENTS),
-        "simples": typed(t.raw_simples, REGIMES),
-        "socios": typed(t.raw_socios, PARTNERS),
-    }
+from registrum.specs import ESTABLISHMENTS, UNKNOWN_CODE, UNKNOWN_COMPANY
 
 
 @check(
@@ -41,7 +25,7 @@ def loaded_tables(t: Tables) -> dict[str, DataFrame]:
        GROUP BY cnpj_basico""",
 )
 def missing_parents(t: Tables) -> DataFrame:
-    tables = loaded_tables(t)
+    tables = t.loaded
     return orphan_keys(
         tables["estabelecimentos"], "cnpj_basico", tables["empresas"], "cnpj_basico"
     )
@@ -135,8 +119,6 @@ def foreign_keys(t: Tables) -> DataFrame:
     ),
 )
 def table_row_counts(t: Tables) -> DataFrame:
-    from registrum.operators.profile import row_counts
-
     counted = row_counts({n: getattr(t, n) for n in ("orders", "lineitem", "events")})
     return counted.withColumnRenamed("table", "tbl")
 
@@ -166,7 +148,7 @@ PASS = f"""
 
 @check("integrity_pass", "P3 A12 U2", PASS)
 def integrity_of_all(t: Tables) -> DataFrame:
-    report = integrity_pass(loaded_tables(t)).foreign_keys
+    report = integrity_pass(t.loaded).foreign_keys
     return report.select("child", F.col("column").alias("col"), "parent", "orphan_rows")
 
 
@@ -187,13 +169,13 @@ def integrity_of_all(t: Tables) -> DataFrame:
             NOT IN (SELECT r_regionkey FROM region)""",
 )
 def backfilled_parents(t: Tables) -> DataFrame:
-    before = loaded_tables(t)
+    before = t.loaded
     after = integrity_pass(before).tables
     out = None
     for name in ("paises", "municipios", "cnaes", "empresas", "naturezas_juridicas"):
         label = "razao_social" if name == "empresas" else "nome"
         filled = after[name].where(
-            F.col(label).isin(UNKNOWN_CODE, "EMPRESA INEXISTENTE NA ORIGEM - GERADA AUTOMATICAMENTE")
+            F.col(label).isin(UNKNOWN_CODE, UNKNOWN_COMPANY)
         )
         one = filled.agg(F.count(F.lit(1)).alias("added")).select(F.lit(name).alias("tbl"), "added")
         out = one if out is None else out.union(one)

@@ -10,7 +10,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from checks import inputs
+from registrum.operators.membership import without_violations
+from registrum.operators.repair import conform, repair
 from registrum.session import fresh_path
+from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS, REGIMES
 
 
 @dataclass(frozen=True)
@@ -20,6 +23,12 @@ class Check:
     sql: str | None
 
 
+SOURCES = {
+    "empresas": "raw_empresas",
+    "estabelecimentos": "raw_estab",
+    "simples": "raw_simples",
+    "socios": "raw_socios",
+}
 WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
@@ -43,7 +52,10 @@ class Tables:
         df = df.selectExpr(*[f"{e} AS {n}" for n, e in stages[-1].items()])
         if name in inputs.DOMAINS:
             return df
-        # Written once per session, as a source that queries read column by column.
+        return self._written(name, df)
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        """Written once per session, as a source that queries read column by column."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in WRITTEN:
             WRITTEN[key] = fresh_path(self.spark, f"checks/{name}")
@@ -71,6 +83,19 @@ class Tables:
         return {name: self._derived(name) for name in inputs.DOMAINS}
 
 
+    @cached_property
+    def loaded(self) -> dict[str, DataFrame]:
+        """All tables as loaded, without the checks against their parents."""
+        tables = dict(self.domains)
+        for spec in (COMPANIES, ESTABLISHMENTS, REGIMES, PARTNERS):
+            raw = getattr(self, SOURCES[spec.name])
+            typed = conform(without_violations(repair(raw, spec)), spec)
+            kept = ["k", *spec.column_names] if spec is ESTABLISHMENTS else spec.column_names
+            out = typed.select(*[c for c in kept if c in typed.columns])
+            tables[spec.table] = self._written(f"loaded_{spec.table}", out)
+        return tables
+
+
 CHECKS: dict[str, Check] = {}
 
 
