@@ -174,7 +174,7 @@ def _trigrams_sql(x: str) -> str:
     words = f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}]+')"
     grams = (
         f"flatten(list_transform({words}, lambda w: list_transform(range(1, length(w) + 2), "
-        "i -> substr(concat('  ', w, ' '), i, 3))))"
+        "lambda i: substr(concat('  ', w, ' '), i, 3))))"
     )
     return f"list_distinct({grams})"
 

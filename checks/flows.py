@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks.cleaning import s
 from checks.quality import ACCEPTED, AGGRESSIVE, CNAE_BAD, MUN_BAD, PAIS_BAD
 from checks.readers import UTF8, folder
-from checks.registry import Tables, check
+from checks.registry import WRITTEN, Tables, check
 from registrum.options import Options
 from registrum.plans.tables import all_quarantine, build_all, build_table
 from registrum.sinks.tables import write_exchange
@@ -80,8 +80,8 @@ def build_all_tables(t: Tables) -> DataFrame:
     )
 
 
-# Files of 2500 rows; each is one micro-batch. The first holds the bad addresses.
-BLOCK = "CAST(floor(k / 2500) AS BIGINT)"
+# Files of 4000 rows; each is one micro-batch. The first holds the bad addresses.
+BLOCK = "CAST(floor(k / 4000) AS BIGINT)"
 KEPT_BLOCKS = f"""(SELECT * FROM rep_basic WHERE {BLOCK} NOT IN (SELECT blk FROM (
     SELECT {BLOCK} AS blk, count(*) AS n, count(*) FILTER (correio_eletronico IS NULL)
       - count(*) FILTER (nullif(b_correio_eletronico, '') IS NULL) AS delta
@@ -89,9 +89,13 @@ KEPT_BLOCKS = f"""(SELECT * FROM rep_basic WHERE {BLOCK} NOT IN (SELECT blk FROM
 
 
 def streamed(t: Tables) -> str:
-    """Writes the establishments as text files and ingests them file by file."""
+    """Writes the establishments as text files and ingests them file by file, once per
+    session."""
+    key = (t.spark.sparkContext.applicationId, t.folder, "stream")
+    if key in WRITTEN:
+        return WRITTEN[key]
     base = folder(t, "stream")
-    rows = t.raw_estab.withColumn("block", F.floor(F.col("k") / 2500))
+    rows = t.raw_estab.withColumn("block", F.floor(F.col("k") / 4000))
     for c in ESTABLISHMENTS.source_columns:
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
@@ -108,7 +112,8 @@ def streamed(t: Tables) -> str:
         stream, ESTABLISHMENTS, f"{base}/out", f"{base}/checkpoint", t.domains, RELAXED
     )
     query.awaitTermination()
-    return f"{base}/out"
+    WRITTEN[key] = f"{base}/out"
+    return WRITTEN[key]
 
 
 @check("streamed_ingest", "T1 T2", loaded_sql(KEPT_BLOCKS))

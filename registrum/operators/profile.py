@@ -7,35 +7,38 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registrum.functions.contact import e164
 from registrum.functions.taxid import full_id
 from registrum.operators.quality import as_text, changed
-from registrum.operators.repair import BEFORE, INVALID_ID, data_columns
+from registrum.operators.repair import BEFORE, INVALID_ID, data_columns, quoted
 from registrum.options import Options
 
 
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Nulls, least and greatest value per column, compared in the column's own type."""
     columns = list(columns or data_columns(df))
-    aggs = []
+    arrays = {f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)}
+    aggs, rows = [], []
+
+    def text(value: str, name: str) -> str:
+        if name in arrays:
+            return f"concat('{{', array_join(CAST({value} AS ARRAY<STRING>), ','), '}}')"
+        return f"CAST({value} AS STRING)"
+
     for i, c in enumerate(columns):
+        name = quoted(c)
         aggs += [
-            F.count_if(F.col(c).isNull()).alias(f"_n{i}"),
-            F.min(c).alias(f"_l{i}"),
-            F.max(c).alias(f"_g{i}"),
+            F.expr(f"count_if({name} IS NULL) AS _n{i}"),
+            F.expr(f"min({name}) AS _l{i}"),
+            F.expr(f"max({name}) AS _g{i}"),
         ]
-    wide = df.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"_n{i}").alias("nulls"),
-            as_text(wide, f"_l{i}").alias("min"),
-            as_text(wide, f"_g{i}").alias("max"),
+        rows.append(
+            f"named_struct('column', '{c}', 'nulls', _n{i}, 'min', {text(f'_l{i}', c)}, "
+            f"'max', {text(f'_g{i}', c)})"
         )
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    return df.agg(*aggs).select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def sample_diffs(

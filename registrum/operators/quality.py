@@ -13,11 +13,10 @@ from pyspark.sql import types as T
 from registrum.functions.codes import array_literal
 from registrum.operators.chunks import CHUNK
 from registrum.operators.membership import GIVEN, VIOLATED
-from registrum.operators.repair import BEFORE, INVALID_ID, OVERFLOW, data_columns
+from registrum.operators.repair import BEFORE, INVALID_ID, OVERFLOW, data_columns, quoted
 from registrum.options import Options
 from registrum.specs import TableSpec
 
-COUNTS = T.MapType(T.StringType(), T.LongType())
 TRIGGERS = (
     "map<string,struct<type:string,ratio:double,count:bigint,delta:bigint,"
     "null_delta_ratio:double,null_delta:bigint>>"
@@ -44,11 +43,8 @@ def changed(df: DataFrame, name: str) -> Column:
 
 
 def _count_map(counts: dict[str, str]) -> Column:
-    if not counts:
-        return F.create_map().cast(COUNTS)
-    return F.map_from_arrays(
-        F.array(*[F.lit(c) for c in counts]), F.array(*[F.col(a) for a in counts.values()])
-    )
+    entries = ", ".join(f"'{name}', {value}" for name, value in counts.items())
+    return F.expr(f"CAST(map({entries}) AS MAP<STRING, BIGINT>)")
 
 
 def telemetry(
@@ -64,13 +60,13 @@ def telemetry(
     nulls, deltas, changes = {}, {}, {}
     if level != "none":
         for i, c in enumerate(columns):
-            # A column that no step touched keeps its nulls.
-            is_null = F.col(c).isNull()
-            more = F.lit(0)
-            if c in before:
-                more = is_null.cast("int") - F.col(f"{BEFORE}.{c}").isNull().cast("int")
-            nulls[c], deltas[c] = f"_n{i}", f"_d{i}"
-            aggs += [F.count_if(is_null).alias(nulls[c]), F.sum(more).alias(deltas[c])]
+            name = quoted(c)
+            nulls[c], deltas[c] = f"_n{i}", "0"
+            aggs.append(F.expr(f"count_if({name} IS NULL) AS _n{i}"))
+            if c in before:  # a column that no step touched keeps its nulls
+                more = f"CAST({name} IS NULL AS INT) - CAST({BEFORE}.{name} IS NULL AS INT)"
+                deltas[c] = f"_d{i}"
+                aggs.append(F.expr(f"sum({more}) AS _d{i}"))
     if level == "aggressive":
         for i, c in enumerate(t for t in spec.tracked if t in columns and t in before):
             changes[c] = f"_c{i}"
@@ -84,7 +80,7 @@ def telemetry(
             F.col(chunk).alias("chunk"),
             "rows",
             F.lit(level).alias("level"),
-            F.array(*[F.lit(c) for c in columns]).alias("columns"),
+            F.lit(columns).alias("columns"),
             _count_map(nulls).alias("after_nulls"),
             _count_map(deltas).alias("null_deltas"),
             F.map_filter(_count_map(changes), lambda _, n: n > 0).alias("changed_counts"),

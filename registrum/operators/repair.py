@@ -141,18 +141,22 @@ def repair(
     return flag_invalid_ids(cleaned, () if level == "none" else spec.id_parts)
 
 
-def _cast(name: str, kind: str) -> tuple[Column, Column]:
-    """The column in its target type, and whether it does not fit."""
-    c = F.col(name)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cast(name: str, kind: str) -> tuple[str, str]:
+    """SQL of the column in its target type, and of whether it does not fit."""
+    c = quoted(name)
     if kind.startswith(("char", "varchar")):
         size = int(kind[kind.index("(") + 1 : -1])
-        value = c.cast("string")
-        return value, F.length(value) > size
-    value = c.try_cast(kind)
-    lost = c.isNotNull() & value.isNull()
+        value = f"CAST({c} AS STRING)"
+        return value, f"length({value}) > {size}"
+    value = f"try_cast({c} AS {kind})"
+    lost = f"({c} IS NOT NULL AND {value} IS NULL)"
     if kind.startswith("array"):
-        lost = lost | (c.isNotNull() & F.exists(value, lambda x: x.isNull()))
-    return value, F.coalesce(lost, F.lit(False))
+        lost += f" OR exists({value}, x -> x IS NULL)"
+    return value, lost
 
 
 def conform(df: DataFrame, spec: TableSpec, strict: bool = False) -> DataFrame:
@@ -165,9 +169,9 @@ def conform(df: DataFrame, spec: TableSpec, strict: bool = False) -> DataFrame:
     for name, kind in spec.columns:
         if name in df.columns:
             value, bad = _cast(name, kind)
-            values[name] = value
-            misfits.append(F.when(bad, F.lit(name)))
-    listed = F.array_compact(F.array(*misfits))
+            values[name] = F.expr(value)
+            misfits.append(f"CASE WHEN {bad} THEN '{name}' END")
+    listed = F.expr(f"array_compact(array({', '.join(misfits)}))")
     out = df.withColumn(OVERFLOW, listed).withColumns(values)
     if strict:
         bad_row = out.where(F.size(OVERFLOW) > 0).select(OVERFLOW).head()
