@@ -13,7 +13,7 @@ from registrum.operators.enrich import (
     enrich_by_city_name, enrich_by_postal_code, enrichment_counts, enrichment_examples,
 )
 from registrum.operators.membership import (
-    Rule, domain_keys, foreign_codes, members, relax_members, require_loaded, rules_for,
+    Rule, codes_in_use, domain_keys, foreign_codes, members, relax_members, require_loaded, rules_for,
     without_violations,
 )
 from registrum.operators.profile import (
@@ -316,21 +316,18 @@ def membership_relaxed(t: Tables) -> DataFrame:
           WHERE {PAIS_BAD} GROUP BY pais_codigo
         UNION ALL SELECT 'municipio_codigo', municipio_codigo, count(*) FROM rep_basic
           WHERE {MUN_BAD} GROUP BY municipio_codigo
-        UNION ALL SELECT 'status', CAST(situacao_cadastral AS VARCHAR), count(*) FROM rep_basic
+        UNION ALL SELECT 'situacao_cadastral', CAST(situacao_cadastral AS VARCHAR), count(*) FROM rep_basic
           WHERE situacao_cadastral NOT IN ('1', '2', '3', '4') GROUP BY situacao_cadastral""",
 )
 def membership_counts(t: Tables) -> DataFrame:
     df = repair(t.raw_estab, ESTABLISHMENTS)
-    rules = {
-        "pais_codigo": Rule("pais_codigo", t.domains["paises"]),
-        "municipio_codigo": Rule("municipio_codigo", t.domains["municipios"]),
-        "status": Rule("situacao_cadastral", allowed=("1", "2", "3", "4")),
-    }
-    frames = [
-        foreign_codes(df, rule).select(F.lit(name).alias("col"), s("code").alias("code"), "rows")
-        for name, rule in rules.items()
+    rules = [
+        Rule("pais_codigo", t.domains["paises"]),
+        Rule("municipio_codigo", t.domains["municipios"]),
+        Rule("situacao_cadastral", allowed=("1", "2", "3", "4")),
     ]
-    return frames[0].union(frames[1]).union(frames[2])
+    used = codes_in_use(df, [rule.column for rule in rules])
+    return foreign_codes(used, rules).withColumnRenamed("column", "col")
 
 
 @check(

@@ -31,6 +31,9 @@ def balanced_join(
     right rows are repeated once per piece; all other rows keep piece 0. Left rows with a
     null key match nothing and are spread too. For joins that keep left rows (inner, left,
     left_semi, left_anti).
+
+    The piece is a hash of the left row, so a recomputed task deals its rows out alike.
+    Copies of one row share a piece; if they are many, adaptive execution splits it.
     """
     limit = left.select(F.count(F.lit(1)) * F.lit(share)).scalar()
     counted = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
@@ -40,8 +43,9 @@ def balanced_join(
     hot = F.broadcast(hot)
     no_key = reduce(or_, [F.col(c).isNull() for c in on])
     pieces = F.when(no_key, F.lit(int(1 / share))).otherwise(F.coalesce("_pieces", F.lit(1)))
+    hashed = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
     dealt = left.join(hot, on, "left").withColumn(
-        "_piece", F.pmod(F.monotonically_increasing_id(), pieces).cast("int")
+        "_piece", F.pmod(F.xxhash64(*hashed), pieces).cast("int")
     )
     repeated = right.join(hot, on, "left").withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))

@@ -5,12 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrum.functions.text import STATES
 from registrum.operators.joins import BROADCAST_ROWS, lookup_join
+from registrum.session import write_and_reread
 from registrum.specs import TableSpec
 
 VIOLATED = "_violated"
@@ -60,40 +62,57 @@ def members(df: DataFrame, column: str, domain: DataFrame, key: str = "codigo")
     return lookup_join(df, keys, [column], "left_semi")
 
 
-def foreign_codes(df: DataFrame, rule: Rule) -> DataFrame:
-    """Codes outside the domain, with their row counts.
+def codes_in_use(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column, code, rows`` of all given columns in one scan.
 
-    Rows are counted per code before anything is joined, so a frequent code costs one row.
+    Rows are counted per code before the shuffle, so a frequent code costs one row.
     """
-    counted = (
-        df.select(F.col(rule.column).alias("code"))
-        .dropna()
-        .groupBy("code")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    if rule.domain is None:
-        return counted.where(~F.col("code").isin(*rule.allowed))
-    keys = rule.domain.select(F.col(rule.key).alias("_key"))
-    kind = keys.schema["_key"].dataType
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("code")) for c in columns
+    ]
     return (
-        counted.withColumn("_key", F.col("code").try_cast(kind))
-        .join(keys, "_key", "left_anti")
-        .select("code", "rows")
+        df.select(F.inline(F.array(*pairs)))
+        .where(F.col("code").isNotNull())
+        .groupBy("column", "code")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
-def require_members(df: DataFrame, rules: Sequence[Rule]) -> None:
-    """Raises with the number of bad rows and up to ten of the codes."""
+def foreign_codes(used: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Those of the codes in use that are outside the domain of their column."""
+    parts = []
     for rule in rules:
-        if rule.column not in df.columns:
+        mine = used.where(F.col("column") == rule.column)
+        if rule.domain is None:
+            parts.append(mine.where(~F.col("code").isin(*rule.allowed)))
             continue
-        bad = foreign_codes(df, rule)
-        total = bad.agg(F.sum("rows")).head()[0]
-        if total:
-            sample = [r.code for r in bad.orderBy("code").limit(SAMPLE).collect()]
-            raise MembershipError(
-                f"{rule.column}: {total} rows outside the domain, codes {sample}"
-            )
+        keys = rule.domain.select(F.col(rule.key).alias("_key"))
+        kind = keys.schema["_key"].dataType
+        parts.append(
+            mine.withColumn("_key", F.col("code").try_cast(kind))
+            .join(keys, "_key", "left_anti")
+            .select("column", "code", "rows")
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def require_members(df: DataFrame, rules: Sequence[Rule]) -> None:
+    """Raises with the number of bad rows and up to ten of the codes of each column.
+
+    The table is scanned once; its codes are then checked from a small written table.
+    """
+    rules = [rule for rule in rules if rule.column in df.columns]
+    if not rules:
+        return
+    used = write_and_reread(codes_in_use(df, [rule.column for rule in rules]), "codes")
+    bad = foreign_codes(used, rules)
+    found = []
+    for row in bad.groupBy("column").agg(F.sum("rows").alias("rows")).orderBy("column").collect():
+        codes = bad.where(F.col("column") == row["column"]).orderBy("code").limit(SAMPLE)
+        sample = [r["code"] for r in codes.collect()]
+        found.append(f"{row['column']}: {row['rows']} rows outside the domain, codes {sample}")
+    if found:
+        raise MembershipError("; ".join(found))
 
 
 def relax_members(

@@ -27,7 +27,7 @@ from registrum.options import Options
 from registrum.session import write_and_reread
 from registrum.sinks.records import metric_lines, write_json_lines, write_metrics, write_summary
 from registrum.sinks.tables import clustered, write_by_state, write_table
-from registrum.sources.delimited import read_table
+from registrum.sources.delimited import FILE, read_table
 from registrum.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -93,6 +93,8 @@ def build_table(
     if chunk is not None:
         raw = raw.withColumn(CHUNK, chunk)
     elif CHUNK not in raw.columns:
+        if FILE not in raw.columns:
+            raw = raw.withColumn(FILE, F.lit(spec.name))
         raw = chunk_by_file(raw, opts.chunk_size)
     repaired = repaired_rows(raw, spec, opts, maps)
     if opts.stage:
@@ -139,6 +141,9 @@ def write_result(result: BuildResult, out: str, opts: Options = Options()) -> No
         write_by_state(rows, target, allow_overwrite=opts.allow_overwrite)
     else:
         write_table(result.clean, target, opts.allow_overwrite)
+    # Statistics come from the written columns, not from another run of the repair.
+    written = result.clean.sparkSession.read.schema(result.clean.schema).parquet(target)
+    stats = column_stats(written)
     for name, df in (("quarantine", result.quarantine), ("telemetry", result.telemetry)):
         write_json_lines(
             df,
@@ -146,7 +151,7 @@ def write_result(result: BuildResult, out: str, opts: Options = Options()) -> No
             max_bytes=opts.json_max_bytes,
             daily=opts.daily_rotation,
         )
-    write_summary(result.summary, f"{out}/summary/{spec.name}")
+    write_summary(summary(spec, result.telemetry, stats, opts), f"{out}/summary/{spec.name}")
     if opts.metrics:
         write_metrics(metric_lines(result.totals, spec.table), f"{out}/metrics/{spec.name}")
 
