@@ -25,6 +25,7 @@ from registrum.operators.quality import (
 )
 from registrum.operators.repair import repair
 from registrum.options import Options
+from registrum.session import write_and_reread
 from registrum.specs import ESTABLISHMENTS
 
 AGGRESSIVE = Options(level="aggressive", strict_membership=False)
@@ -41,7 +42,9 @@ def repaired(t: Tables, level: str = "aggressive") -> DataFrame:
 
 
 def records(t: Tables, opts: Options = AGGRESSIVE) -> DataFrame:
-    return with_gate(telemetry(repaired(t, opts.level), ESTABLISHMENTS, opts.level), opts)
+    """Written telemetry, as the table build uses it."""
+    counted = telemetry(repaired(t, opts.level), ESTABLISHMENTS, opts.level)
+    return write_and_reread(with_gate(counted, opts), "checks-telemetry")
 
 
 def changed_sql(c: str) -> str:

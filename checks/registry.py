@@ -55,11 +55,13 @@ class Tables:
         return self._written(name, df)
 
     def _written(self, name: str, df: DataFrame) -> DataFrame:
-        """Written once per session, as a source that queries read column by column."""
+        """Written once per session, as a source of several files that queries read column
+        by column."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in WRITTEN:
             WRITTEN[key] = fresh_path(self.spark, f"checks/{name}")
-            df.write.parquet(WRITTEN[key])
+            files = self.spark.sparkContext.defaultParallelism
+            df.repartition(files).write.parquet(WRITTEN[key])
         return self.spark.read.schema(df.schema).parquet(WRITTEN[key])
 
     @cached_property

@@ -34,16 +34,23 @@ def check_digit(c: Column, weights: tuple[int, ...]) -> Column:
     return (11 - total % 11) % 11 % 10
 
 
-def _valid(c: Column, weights: tuple[tuple[int, ...], ...]) -> Column:
+def _sums_agree(x: Column, weights: tuple[tuple[int, ...], ...]) -> Column:
+    """Whether an id of the right length, all digits, ends in its check digits."""
     n = len(weights[1]) + 1
+    repeated = F.replace(x, F.substring(x, 1, 1), F.lit("")) == ""
+    first = _digit(x, n - 1) == check_digit(x, weights[0])
+    second = _digit(x, n) == check_digit(x, weights[1])
+    return ~repeated & first & second
 
-    def judge(x: Column) -> Column:
-        shape = x.rlike(rf"^[0-9]{{{n}}}\z") & (F.replace(x, F.substring(x, 1, 1), F.lit("")) != "")
-        first = _digit(x, n - 1) == check_digit(x, weights[0])
-        second = _digit(x, n) == check_digit(x, weights[1])
-        return F.when(shape, first & second).when(x.isNotNull(), F.lit(False))
 
-    return once(c, judge)
+def _valid(c: Column, weights: tuple[tuple[int, ...], ...]) -> Column:
+    shape = rf"^[0-9]{{{len(weights[1]) + 1}}}\z"
+    return once(
+        c,
+        lambda x: F.when(x.rlike(shape), _sums_agree(x, weights)).when(
+            x.isNotNull(), F.lit(False)
+        ),
+    )
 
 
 def person_id_valid(c: Column) -> Column:
@@ -62,20 +69,23 @@ def full_id(*parts: Column) -> Column:
 def invalid_company_id(*parts: Column) -> Column:
     """True for a complete id with wrong check digits; incomplete ids are not judged."""
     return once(
-        full_id(*parts), lambda whole: (F.length(whole) == 14) & ~company_id_valid(whole)
+        full_id(*parts),
+        lambda whole: (F.length(whole) == 14) & ~_sums_agree(whole, COMPANY_WEIGHTS),
     )
 
 
 def person_id(c: Column) -> Column:
-    return once(digits_of_length(c, 11), lambda d: F.when(person_id_valid(d), d))
+    return once(
+        digits_of_length(c, 11), lambda d: F.when(_sums_agree(d, PERSON_WEIGHTS), d)
+    )
 
 
 def any_tax_id(c: Column) -> Column:
     """The digits of a valid person or company id, else null."""
 
     def judge(d: Column) -> Column:
-        person = (F.length(d) == 11) & person_id_valid(d)
-        company = (F.length(d) == 14) & company_id_valid(d)
+        person = (F.length(d) == 11) & _sums_agree(d, PERSON_WEIGHTS)
+        company = (F.length(d) == 14) & _sums_agree(d, COMPANY_WEIGHTS)
         return F.when(person | company, d)
 
     return once(digits(c), judge)
