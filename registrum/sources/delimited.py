@@ -33,6 +33,13 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def corrupt_text(schema: T.StructType) -> Column:
+    """The corrupt-record column, tied to a data column: Spark refuses a query that reads
+    nothing else of a file, such as a count of the well-formed lines."""
+    tie = F.length(F.concat_ws("", F.col(schema.names[0]))) >= 0
+    return F.when(tie, F.col(CORRUPT)).alias(CORRUPT)
+
+
 def tokens_to_null(
     df: DataFrame, columns: Sequence[str], tokens: Sequence[str] = NA_TOKENS
 ) -> DataFrame:
@@ -67,7 +74,9 @@ def read_delimited(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
-    named = df.select(*schema.names, CORRUPT, F.col("_metadata.file_path").alias(FILE))
+    named = df.select(
+        *schema.names, corrupt_text(schema), F.col("_metadata.file_path").alias(FILE)
+    )
     return tokens_to_null(named, schema.names, opts.na_tokens)
 
 

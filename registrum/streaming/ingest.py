@@ -17,7 +17,9 @@ from registrum.operators.chunks import CHUNK
 from registrum.operators.profile import column_stats, totals
 from registrum.options import Options
 from registrum.plans.tables import Maps, build_table
-from registrum.sources.delimited import csv_options, tokens_to_null, well_formed, with_corrupt
+from registrum.sources.delimited import (
+    corrupt_text, csv_options, tokens_to_null, well_formed, with_corrupt,
+)
 from registrum.specs import TableSpec
 
 BATCH = "batch_id"
@@ -34,7 +36,8 @@ def stream_table(
     reader = spark.readStream.schema(with_corrupt(spec.read_schema())).options(**csv_options(opts))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = well_formed(reader.csv(folder), len(spec.source_columns))
+    parsed = reader.csv(folder).select(*spec.source_columns, corrupt_text(spec.read_schema()))
+    rows = well_formed(parsed, len(spec.source_columns))
     rows = tokens_to_null(rows, spec.source_columns, opts.na_tokens)
     return rows.select(
         *spec.source_columns, *[F.lit(None).cast("string").alias(c) for c in spec.derived]
