@@ -25,6 +25,8 @@ def csv_options(opts: Options, sep: str = ";") -> dict[str, str]:
         "encoding": opts.encoding,
         "multiLine": str(opts.multi_line).lower(),
         "mode": "PERMISSIVE",
+        # Fields of a line are counted against all columns, also when few are selected.
+        "columnPruning": "false",
         "columnNameOfCorruptRecord": CORRUPT,
     }
 
