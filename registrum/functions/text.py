@@ -43,8 +43,8 @@ def strip(c: Column) -> Column:
 
 
 def digits(c: Column) -> Column:
-    """Only the digits; '' when there are none."""
-    return F.regexp_replace(c, "[^0-9]", "")
+    """Only the digits; '' when there are none. Text that is all digits is not rewritten."""
+    return F.when(c.rlike(r"^[0-9]*\z"), c).otherwise(F.regexp_replace(c, "[^0-9]+", ""))
 
 
 def digits_or_null(c: Column) -> Column:
@@ -56,8 +56,8 @@ def blank_to_null(c: Column) -> Column:
 
 
 def digits_of_length(c: Column, n: int) -> Column:
-    whole = F.regexp_extract(digits(c), rf"^[0-9]{{{n}}}\z", 0)
-    return F.nullif(whole, F.lit(""))
+    kept = F.regexp_replace(c, "[^0-9]+", "")
+    return F.when(c.rlike(rf"^[0-9]{{{n}}}\z"), c).when(F.length(kept) == n, kept)
 
 
 def state(c: Column, allowed: tuple[str, ...] = STATES) -> Column:
