@@ -118,11 +118,11 @@ def apply_cleaners(df: DataFrame, rules: Mapping[str, Cleaner]) -> DataFrame:
 
 
 def flag_invalid_ids(df: DataFrame, parts: tuple[str, ...]) -> DataFrame:
-    flag = (
-        F.coalesce(taxid.invalid_company_id(*[F.col(p) for p in parts]), F.lit(False))
-        if parts and set(parts) <= set(df.columns)
-        else F.lit(False)
-    )
+    """``parts`` are cleaned already, so their digits are joined as they are."""
+    flag = F.lit(False)
+    if parts and set(parts) <= set(df.columns):
+        whole = F.concat(*[F.coalesce(F.col(p), F.lit("")) for p in parts])
+        flag = F.coalesce(taxid.invalid_whole_id(whole), F.lit(False))
     return df.withColumn(INVALID_ID, flag)
 
 
