@@ -1,7 +1,7 @@
 """Tax ids of persons (11 digits) and companies (14 digits).
 
-The digit sums are short array expressions: unrolled over 27 digits they would make plans
-so large that every task spends longer on its code than on its rows.
+The digit sums are short array expressions, which keeps plans small: unrolled, a company id
+would take more than a hundred expressions.
 """
 
 from __future__ import annotations
