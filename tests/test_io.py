@@ -159,9 +159,8 @@ def test_state_folders(spark, tmp_path):
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
-    spark.sql("CREATE DATABASE IF NOT EXISTS reg")
+    spark.sql(f"CREATE DATABASE reg LOCATION '{tmp_path}/reg'")
     for name in ("reg.a", "reg.b"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
         save_bucketed(spark.range(100), name, ["id"], 4, allow_overwrite=True)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
