@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import forced_bpe
+from registrum.llm import forced_bpe, packing
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -29,7 +29,16 @@ def op10_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    cut = packing.pieces(packing.encode_partitions(docs, WORD_BPE, end_id=2))
+    return cut.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_concatenate_and_cut": op7_concatenate_and_cut,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
 }
 ORACLES: dict[str, str] = {}
