@@ -6,10 +6,15 @@ import functools
 import heapq
 import json
 import re
+import struct
 
-# Longer chunks and fragments are rare; remembering them would fill a worker's memory.
+import numpy as np
+
+from registrum.llm.chunk_memo import ChunkMemo
+
+# Longer fragments are rare; remembering them would fill a worker's memory.
 REMEMBER_CHARS = 48
-REMEMBER_ENTRIES = 400_000
+REMEMBER_ENTRIES = 150_000
 
 
 def byte_symbols() -> list[str]:
@@ -55,8 +60,8 @@ class Vocabulary:
             self.inside.update(zip(body, body[1:]))
         symbols = byte_symbols()
         self._symbols = {b: symbols[b] for b in range(256)}
-        self._fragments: dict[tuple[str, bool], tuple[int, ...]] = {}
-        self._chunks: dict[str, tuple[int, ...]] = {}
+        self._fragments: dict[str, bytes] = {}
+        self.memo = ChunkMemo(lambda chunks: [self.chunk_ids(c) for c in chunks])
 
     # Letters whose normal form, case and class have not changed in any Unicode version.
     _simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?|%#$&*]*)")
@@ -69,6 +74,13 @@ class Vocabulary:
             return [p if p.isascii() else self.as_symbols(p) for p in parts]
         return [word for word, _ in self.pre_tokenize(self.normalize(text))]
 
+    def token_table(self) -> np.ndarray:
+        """Tokens by id; an id without a token has none and cannot be joined."""
+        table = np.full(max(self.tokens) + 1, None, object)
+        for i, token in self.tokens.items():
+            table[i] = token
+        return table
+
     def as_symbols(self, text: str) -> str:
         return text.encode("utf-8").decode("latin-1").translate(self._symbols)
 
@@ -84,14 +96,19 @@ class Vocabulary:
             return [word]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
 
-    def fragment_ids(self, fragment: str, last: bool) -> tuple[int, ...]:
-        key = (fragment, last)
+    def fragment_ids(self, fragment: str, last: bool) -> bytes:
+        """Ids as little-endian 32-bit numbers."""
+        key = fragment + self.end if last else fragment
         found = self._fragments.get(key)
         if found is None:
+            whole = self.ids.get(key)
+            if whole is not None and len(fragment) == 1:
+                return whole.to_bytes(4, "little")
             symbols = list(fragment)
             if last:
                 symbols[-1] += self.end
-            found = tuple(self.ids[s] for s in self.merge(symbols))
+            ids = [self.ids[s] for s in self.merge(symbols)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
             if len(fragment) <= REMEMBER_CHARS:
                 if len(self._fragments) >= REMEMBER_ENTRIES:
                     self._fragments = {}
@@ -102,11 +119,19 @@ class Vocabulary:
         """Applies merges, lowest rank first and leftmost among equals."""
         ranks = self.ranks
         if len(symbols) <= 24:
-            while len(symbols) > 1:
-                best, at = min((ranks.get(p, 1 << 60), i) for i, p in enumerate(zip(symbols, symbols[1:])))
-                if best == 1 << 60:
+            get, none = ranks.get, len(ranks)
+            order = [get(p, none) for p in zip(symbols, symbols[1:])]
+            while order:
+                best = min(order)
+                if best == none:
                     break
-                symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+                i = order.index(best)
+                symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+                del order[i]
+                if i < len(order):
+                    order[i] = get((symbols[i], symbols[i + 1]), none)
+                if i:
+                    order[i - 1] = get((symbols[i - 1], symbols[i]), none)
             return symbols
         # Long fragments: a heap of pairs over a linked list.
         after = [*range(1, len(symbols)), -1]
@@ -129,27 +154,19 @@ class Vocabulary:
                     heapq.heappush(heap, (ranks[symbols[a], symbols[b]], a, (symbols[a], symbols[b])))
         return [s for s in symbols if s]
 
-    def chunk_ids(self, chunk: str) -> tuple[int, ...]:
+    def chunk_ids(self, chunk: str) -> bytes:
         """Ids of a text without blanks or line feeds."""
-        found = self._chunks.get(chunk)
-        if found is None:
-            ids: list[int] = []
-            parts = self.added_split.split(chunk) if self.added_split else [chunk]
-            for part in parts:
-                if part in self.added:
-                    ids.append(self.added[part])
-                elif part:
-                    for word in self.words(part):
-                        fragments = self.forced_fragments(word)
-                        for fragment in fragments[:-1]:
-                            ids.extend(self.fragment_ids(fragment, False))
-                        ids.extend(self.fragment_ids(fragments[-1], True))
-            found = tuple(ids)
-            if len(chunk) <= REMEMBER_CHARS:
-                if len(self._chunks) >= REMEMBER_ENTRIES:
-                    self._chunks = {}
-                self._chunks[chunk] = found
-        return found
+        ids = []
+        parts = self.added_split.split(chunk) if self.added_split else [chunk]
+        for part in parts:
+            if part in self.added:
+                ids.append(self.added[part].to_bytes(4, "little"))
+            elif part:
+                for word in self.words(part):
+                    *first, last = self.forced_fragments(word)
+                    ids.extend(self.fragment_ids(fragment, False) for fragment in first)
+                    ids.append(self.fragment_ids(last, True))
+        return b"".join(ids)
 
 
 @functools.lru_cache(maxsize=2)

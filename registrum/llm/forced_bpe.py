@@ -12,7 +12,7 @@ repeated rows are encoded alike. Columns that clash with ``output`` raise ``Valu
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -49,14 +49,10 @@ def encode(df: DataFrame, path: str, text: str = "text", output: str = "ids") ->
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
             for start, stop in slices(map(len, texts)):
-                known, chunk_ids = vocab._chunks.get, vocab.chunk_ids
-                counts, values = [], []
-                for t in texts[start:stop]:
-                    found = [known(c) or chunk_ids(c) for c in t.replace("\n", " ").split(" ") if c]
-                    values.append(np.fromiter(chain.from_iterable(found), np.int32))
-                    counts.append(len(values[-1]))
-                offsets = np.fromiter(accumulate(counts, initial=0), np.int32, len(counts) + 1)
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values)))
+                found = vocab.memo.ids(texts[start:stop])
+                offsets = np.fromiter(accumulate((len(f) // 4 for f in found), initial=0), np.int32)
+                values = np.frombuffer(b"".join(found), "<i4")
+                ids = pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], [*batch.schema.names, output])
 
@@ -72,12 +68,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", output: str = "decoded")
     place = df.columns.index(ids)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary(path).tokens.__getitem__
+        tokens = vocabulary(path).token_table()
         for batch in batches:
             lengths = pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_numpy()
             for start, stop in slices((8 * lengths).tolist()):
                 part = batch.slice(start, stop - start)
-                out = [" ".join(map(tokens, row or ())) for row in part.column(place).to_pylist()]
+                out = [" ".join(tokens[row.values.to_numpy()].tolist()) if row.is_valid else "" for row in part.column(place)]
                 decoded = pa.array(out, pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, decoded], [*batch.schema.names, output])
 
