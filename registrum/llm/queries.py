@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import forced_bpe, packing
+from registrum.llm import forced_bpe, packing, toxicity, unit_dedup
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,16 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def op9_naive_bayes_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    labels = table(spark, folder, "labels", "doc_id", "toxic")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     ids = forced_bpe.encode(docs, WORD_BPE).select("doc_id", "ids")
@@ -29,6 +39,18 @@ def op10_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document with its repeated passages cut out, and where they stood."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    return unit_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "text",
+        F.length("text").cast("long").alias("kept_chars"),
+        F.size("removed").alias("n_removed"),
+        "removed",
+    )
+
+
 def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     cut = packing.pieces(packing.encode_partitions(docs, WORD_BPE, end_id=2))
@@ -38,7 +60,9 @@ def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_repeated_units": op6_repeated_units,
     "op7_concatenate_and_cut": op7_concatenate_and_cut,
+    "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
 }
 ORACLES: dict[str, str] = {}
