@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import forced_bpe, packing, toxicity, unit_dedup
+from registrum.llm import dart_minhash, forced_bpe, packing, toxicity, unit_dedup, weighted_fingerprint
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -39,6 +39,16 @@ def op10_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return weighted_fingerprint.with_edits(docs, blocks)
+
+
+def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return dart_minhash.classes(table(spark, folder, "documents", "doc_id", "text"))
+
+
 def op6_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with its repeated passages cut out, and where they stood."""
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -60,6 +70,8 @@ def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_weighted_sampling": op3_weighted_sampling,
+    "op4_dart_minhash": op4_dart_minhash,
     "op6_repeated_units": op6_repeated_units,
     "op7_concatenate_and_cut": op7_concatenate_and_cut,
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
