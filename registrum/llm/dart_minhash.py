@@ -45,7 +45,7 @@ BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
 REPRESENTATIVES = 3
 # Outsiders and members of a bucket that one task compares.
-OUTSIDERS = 64
+OUTSIDERS = 256
 MEMBERS = 512
 # Width of the first slab: a text of 4096 shingles or more needs no other.
 FIRST_SLAB = 2.0 ** -3
@@ -151,14 +151,14 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Written to the shared folder: id, node (a hash of the words), keys of the bands, and the
+    """Written to the shared folder: id, hash of the text, node (a hash of the words), keys of the bands, and the
     units of all shingles as sorted 32-bit hashes."""
-    names = ["id", "node", "keys", "units"]
+    names = ["id", "version", "node", "keys", "units"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(2).to_pylist()]
             for start, stop in slices(map(len, texts)):
                 nodes, keys, units = [], [], []
                 for t in texts[start:stop]:
@@ -173,6 +173,7 @@ def sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start),
+                        batch.column(1).slice(start, stop - start),
                         pa.array(nodes, pa.int64()),
                         pa.array(keys, pa.list_(pa.int64())),
                         pa.array(units, pa.binary()),
@@ -182,11 +183,13 @@ def sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     schema = T.StructType([
         T.StructField("id", df.schema[doc_id].dataType),
+        T.StructField("version", T.LongType()),
         T.StructField("node", T.LongType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
         T.StructField("units", T.BinaryType()),
     ])
-    return write_and_reread(df.select(doc_id, text).mapInArrow(run, schema), "sketches")
+    own = df.select(doc_id, F.xxhash64(text).alias("_v"), text)
+    return write_and_reread(own.mapInArrow(run, schema), "sketches")
 
 
 def similarity(one: bytes, other: bytes) -> float:
@@ -287,13 +290,31 @@ def across(rest: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
     return dealt.groupBy("key", "group", "chunk").applyInArrow(compare, "a long, b long")
 
 
+def _placed(df: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Every row with the label of its class, and the first row of each class."""
+    own = sketches(df, doc_id, text)
+    labels = components(links(own, threshold))
+    placed = own.select("id", "version", "node").join(labels, "node", "left")
+    placed = write_and_reread(placed.select("id", "version", F.coalesce("label", "node").alias("label")), "placed")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
+    heads = placed.groupBy("label").agg(first).select("label", F.col("first.id").alias("class_id"), "first.version")
+    return placed, write_and_reread(heads, "heads")
+
+
 def classes(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per row of ``df``: the id and ``class_id``, the smallest id of its class."""
-    own = sketches(df, doc_id, text)
-    labels = components(links(own, threshold))
-    placed = own.select("id", "node").join(labels, "node", "left")
-    placed = write_and_reread(placed.select("id", F.coalesce("label", "node").alias("label")), "placed")
-    heads = write_and_reread(placed.groupBy("label").agg(F.min("id").alias("class_id")), "heads")
-    return placed.join(heads, "label").select(F.col("id").alias(doc_id), "class_id")
+    placed, heads = _placed(df, doc_id, text, threshold)
+    return placed.join(heads.drop("version"), "label").select(F.col("id").alias(doc_id), "class_id")
+
+
+def one_of_each(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``df`` with one row of each class, that with the smallest id. All columns are kept."""
+    heads = _placed(df, doc_id, text, threshold)[1]
+    heads = heads.select(F.col("class_id").alias("_id"), F.col("version").alias("_version"))
+    rows = df.withColumn("_of", F.xxhash64(text))
+    kept = rows.join(heads, (rows["_of"] == heads["_version"]) & rows[doc_id].eqNullSafe(heads["_id"]), "left_semi")
+    return kept.dropDuplicates([doc_id, "_of"]).drop("_of")
