@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.llm import dart_minhash, forced_bpe, packing, toxicity, unit_dedup, weighted_fingerprint
+from registrum.llm import (
+    dart_minhash,
+    forced_bpe,
+    packing,
+    pivot_search,
+    preference,
+    toxicity,
+    unit_dedup,
+    url_trust,
+    warc,
+    weighted_fingerprint,
+)
+from registrum.session import write_and_reread
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +29,21 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def op8_index_merge(spark: SparkSession, folder: str) -> DataFrame:
+    captures = warc.capture_index(table(spark, folder, "pages", "page_id", "url", "html"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to FROM f
+"""
+
+
 def op9_naive_bayes_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     labels = table(spark, folder, "labels", "doc_id", "toxic")
@@ -39,6 +66,71 @@ def op10_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_common_prefix_preference(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs from conversations: a conversation up to its last assistant turn is chosen; with
+    that turn taken from its neighbour (2n and 2n + 1 swap theirs) it is rejected."""
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"))
+    ended = turns.join(write_and_reread(last, "last-turns"), "conv_id")
+    chosen = ended.where("turn <= last").drop("last")
+    final = ended.where("turn = last and role = 'assistant'")
+    swapped = final.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), "role", "text")
+    swapped = swapped.join(last, "conv_id").select("conv_id", F.col("last").alias("turn"), "role", "text")
+    rejected = ended.where("turn < last").drop("last").unionByName(swapped)
+    found = preference.segments(chosen, rejected)
+    name = F.concat_ws(":", "part", F.col("turn").cast("string"), F.col("trained").cast("string"), "rendered")
+    digest = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
+
+    def chars(condition: str, alias: str):
+        return F.coalesce(F.sum(F.when(F.expr(condition), F.length("rendered"))), F.lit(0)).cast("long").alias(alias)
+
+    return found.groupBy(F.col("pair").alias("conv_id")).agg(
+        F.count_if(F.col("part") == "prompt").alias("prompt_turns"),
+        chars("part = 'prompt'", "prompt_chars"),
+        chars("part = 'chosen'", "chosen_chars"),
+        chars("part = 'rejected'", "rejected_chars"),
+        chars("part = 'chosen' and trained", "chosen_trained_chars"),
+        chars("part = 'rejected' and trained", "rejected_trained_chars"),
+        F.sum(digest).cast("long").alias("digest"),
+    )
+
+
+OP1_SQL = """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+l AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY 1),
+f AS (SELECT t.conv_id, t.text FROM t JOIN l USING (conv_id) WHERE turn = last AND role = 'assistant'),
+c AS (SELECT t.* FROM t JOIN l USING (conv_id) WHERE turn <= last),
+r AS (SELECT t.* FROM t JOIN l USING (conv_id) WHERE turn < last UNION
+      SELECT l.conv_id, l.last, 'assistant', f.text FROM l JOIN f ON f.conv_id = xor(l.conv_id, 1)),
+d AS (SELECT conv_id, min(turn) AS e FROM ((SELECT * FROM c EXCEPT SELECT * FROM r) UNION
+      (SELECT * FROM r EXCEPT SELECT * FROM c)) GROUP BY 1),
+s AS (SELECT c.*, 'prompt' AS part FROM c LEFT JOIN d USING (conv_id) WHERE e IS NULL OR turn < e UNION ALL
+      SELECT c.*, 'chosen' FROM c JOIN d USING (conv_id) WHERE turn >= e UNION ALL
+      SELECT r.*, 'rejected' FROM r JOIN d USING (conv_id) WHERE turn >= e),
+g AS (SELECT conv_id, part, turn, part <> 'prompt' AND role = 'assistant' AS trained,
+      '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered FROM s)
+SELECT conv_id, count(*) FILTER (part = 'prompt') AS prompt_turns,
+  CAST(coalesce(sum(length(rendered)) FILTER (part = 'prompt'), 0) AS BIGINT) AS prompt_chars,
+  CAST(coalesce(sum(length(rendered)) FILTER (part = 'chosen'), 0) AS BIGINT) AS chosen_chars,
+  CAST(coalesce(sum(length(rendered)) FILTER (part = 'rejected'), 0) AS BIGINT) AS rejected_chars,
+  CAST(coalesce(sum(length(rendered)) FILTER (part = 'chosen' AND trained), 0) AS BIGINT) AS chosen_trained_chars,
+  CAST(coalesce(sum(length(rendered)) FILTER (part = 'rejected' AND trained), 0) AS BIGINT) AS rejected_trained_chars,
+  CAST(sum(CAST('0x' || substr(md5(concat_ws(':', part, turn, trained, rendered)), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+FROM g GROUP BY conv_id
+"""
+
+URL_RULES = [
+    url_trust.Rule("block", "net", "/"),
+    url_trust.Rule("allow", "example.net", "/en/"),
+    url_trust.Rule("block", "example.com", "/de/"),
+    url_trust.Rule("allow", "org", "/fr/"),
+]
+
+
+def op2_link_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return url_trust.judge(table(spark, folder, "pages", "page_id", "url", "html"), URL_RULES)
+
+
 def op3_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents", "doc_id", "text")
     blocks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -49,6 +141,21 @@ def op4_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return dart_minhash.classes(table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op5_pivot_search(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e::DOUBLE[], c.e::DOUBLE[]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def op6_repeated_units(spark: SparkSession, folder: str) -> DataFrame:
     """Each document with its repeated passages cut out, and where they stood."""
     docs = table(spark, folder, "documents", "doc_id", "text")
@@ -70,11 +177,15 @@ def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_common_prefix_preference": op1_common_prefix_preference,
+    "op2_link_trust": op2_link_trust,
     "op3_weighted_sampling": op3_weighted_sampling,
     "op4_dart_minhash": op4_dart_minhash,
+    "op5_pivot_search": op5_pivot_search,
     "op6_repeated_units": op6_repeated_units,
     "op7_concatenate_and_cut": op7_concatenate_and_cut,
+    "op8_index_merge": op8_index_merge,
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_common_prefix_preference": OP1_SQL, "op5_pivot_search": OP5_SQL, "op8_index_merge": OP8_SQL}
