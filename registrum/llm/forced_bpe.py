@@ -23,15 +23,15 @@ from pyspark.sql import types as T
 from registrum.llm.bpe_vocab import vocabulary
 
 # Rows are handled in slices of about so many characters, which bounds a task's memory.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
-def slices(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about SLICE_CHARS characters each."""
+def slices(sizes: Iterable[int], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` characters each."""
     start, total, stop = 0, 0, 0
     for stop, size in enumerate(sizes, 1):
         total += size
-        if total >= SLICE_CHARS:
+        if total >= most:
             yield start, stop
             start, total = stop, 0
     if start < stop:

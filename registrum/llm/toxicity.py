@@ -38,6 +38,8 @@ MAX_DOCS = 12_000
 MAX_FEATURES = 4_000
 MIN_DOCS = 4
 LEAST_Z = 4.0
+# A task holds about a hundred bytes per character of a slice.
+SLICE_CHARS = 400_000
 
 
 @dataclass(frozen=True)
@@ -102,7 +104,7 @@ def _counts(sample: DataFrame) -> DataFrame:
         seen = np.zeros((2, BUCKETS), np.int32)
         for batch in batches:
             texts, labels = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            for start, stop in slices(map(len, texts)):
+            for start, stop in slices(map(len, texts), SLICE_CHARS):
                 owners, buckets = present(texts[start:stop], every)
                 for value in (0, 1):
                     seen[value] += np.bincount(
@@ -160,7 +162,7 @@ def fit(
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, marks = batch.column(0).to_pylist(), batch.column(1)
-            for start, stop in slices(map(len, texts)):
+            for start, stop in slices(map(len, texts), SLICE_CHARS):
                 owners, places = present(texts[start:stop], place)
                 bounds = np.searchsorted(owners, np.arange(stop - start + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(places.astype(np.int32)))
@@ -210,7 +212,7 @@ def score(df: DataFrame, model: Model, text: str = "text", output: str = "score"
         place[used] = np.arange(len(used))
         for batch in batches:
             texts = [t or "" for t in batch.column(at).to_pylist()]
-            for start, stop in slices(map(len, texts)):
+            for start, stop in slices(map(len, texts), SLICE_CHARS):
                 owners, places = present(texts[start:stop], place)
                 margin = bias + np.bincount(owners, weights[places], minlength=stop - start)
                 part = batch.slice(start, stop - start)
