@@ -256,7 +256,8 @@ def merged(runs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
                             out.write_table(pa.Table.from_pylist(held, schema))
                             held = []
                     out.write_table(pa.Table.from_pylist(held, schema))
-                yield pa.RecordBatch.from_pylist([{"slice": row["slice"], "file": f"{scratch}/{name}"}])
+                made = {"slice": row["slice"], "file": f"{scratch}/{name}"}
+                yield pa.RecordBatch.from_pylist([made], pa.schema([("slice", pa.int32()), ("file", pa.string())]))
 
     def to_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([pa.field("slice", pa.int32()), pa.field("place", pa.int64()), *schema])
