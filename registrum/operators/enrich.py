@@ -54,7 +54,13 @@ def enrich_by_postal_code(
         .groupBy("_postal")
         .agg(
             F.min("_city").alias("_map_city"),
-            F.coalesce(F.min_by("_state", "_city"), F.min("_state")).alias("_map_state"),
+            # The state of that city, the smallest one if the map names several.
+            F.coalesce(
+                F.min(F.when(F.col("_city").isNotNull() & F.col("_state").isNotNull(), F.struct("_city", "_state")))[
+                    "_state"
+                ],
+                F.min("_state"),
+            ).alias("_map_state"),
         )
     )
     keyed = df.withColumn(
