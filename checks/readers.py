@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import io
+import posixpath
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,7 +110,7 @@ def write_archives(df: DataFrame, category: str, line: str, path: str) -> None:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        fs, root = pafs.FileSystem.from_uri(path)
+        fs, root = archives.filesystem(path)
         fs.create_dir(root, recursive=True)
         for number, batch in enumerate(batches):
             for name, rows in batch.groupby(category):
@@ -127,7 +127,7 @@ def write_archives(df: DataFrame, category: str, line: str, path: str) -> None:
 
 
 def archived_customers(t: Tables) -> str:
-    path = "file://" + folder(t, "archives").removeprefix("file:")
+    path = folder(t, "archives")
     line = F.concat_ws(";", "c_custkey", "c_name", s("c_nationkey"), F.lit("São Paulo"))
     write_archives(t.customer.select("c_mktsegment", line.alias("line")), "c_mktsegment", "line", path)
     return path
@@ -140,12 +140,58 @@ def archived_customers(t: Tables) -> str:
        CAST(c_nationkey AS VARCHAR) AS nation, 'São Paulo' AS city FROM customer""",
 )
 def archive_lines(t: Tables) -> DataFrame:
-    lines = archives.read_archives(t.spark, archived_customers(t))
+    lines, _ = archives.read_archives(t.spark, archived_customers(t))
     schema = t.spark.createDataFrame([], "id string, name string, nation string, city string").schema
     parsed = parse_lines(lines, schema, UTF8)
     return parsed.select("category", *schema.names)
 
 
+def damaged(t: Tables) -> str:
+    """A folder of archives per market segment; one segment's are cut short, in another's a member
+    has a wrong checksum."""
+    source, path = archived_customers(t), folder(t, "damaged-archives")
+
+    def spoil(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["path"]:
+                with archives.open_shared(name) as given:
+                    data = bytearray(given.read())
+                base = posixpath.basename(name)
+                if base.startswith("AUTO"):
+                    data = data[: len(data) // 2]
+                elif base.startswith("BUILD"):
+                    # The checksum of the first member, in its own and in the central header.
+                    data[14] ^= 0xFF
+                    data[data.index(b"PK\x01\x02") + 16] ^= 0xFF
+                fs, root = archives.filesystem(path)
+                fs.create_dir(root, recursive=True)
+                with fs.open_output_stream(f"{root}/{base}") as out:
+                    out.write(bytes(data))
+                yield pd.DataFrame({"name": [base]})
+
+    archives.list_files(t.spark, source).select("path").mapInPandas(spoil, "name string").count()
+    return path
+
+
+@check(
+    "damaged_archives",
+    "S4 S6",
+    """SELECT lower(c_mktsegment) AS category, CASE WHEN c_mktsegment LIKE 'AUTO%' THEN 'not a zip'
+         WHEN c_mktsegment LIKE 'BUILD%' THEN 'damaged member: BadZipFile' ELSE 'read' END AS outcome,
+       CASE WHEN c_mktsegment LIKE 'AUTO%' OR c_mktsegment LIKE 'BUILD%' THEN 0 ELSE count(*) END
+         AS lines FROM customer GROUP BY c_mktsegment
+       UNION ALL SELECT DISTINCT lower(c_mktsegment), 'unsafe member', 0 FROM customer
+       WHERE c_mktsegment NOT LIKE 'AUTO%'""",
+)
+def damaged_archives(t: Tables) -> DataFrame:
+    lines, rejects = archives.read_archives(t.spark, damaged(t))
+    read = lines.groupBy("category").agg(F.count(F.lit(1)).alias("lines"))
+    left = rejects.select(archives.category(F.col("path")).alias("category"), F.col("reason").alias("outcome"))
+    return read.select("category", F.lit("read").alias("outcome"), "lines").unionByName(
+        left.distinct().withColumn("lines", F.lit(0).cast("long"))
+    )
+
+
 @check(
     "archive_integrity",
     "S6 S5",
@@ -310,7 +356,7 @@ def sql_folder(t: Tables) -> DataFrame:
         "b.sql": "SELECT count(*) AS rows FROM orders WHERE o_orderstatus = 'F'",
         "a.sql": "SELECT count(*) AS rows FROM customer;",
     }
-    fs, root = pafs.FileSystem.from_uri("file://" + path.removeprefix("file:"))
+    fs, root = archives.filesystem(path)
     fs.create_dir(root, recursive=True)
     for name, text in texts.items():
         with fs.open_output_stream(f"{root}/{name}") as out:

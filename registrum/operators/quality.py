@@ -15,6 +15,7 @@ from registrum.operators.chunks import CHUNK
 from registrum.operators.membership import GIVEN, VIOLATED
 from registrum.operators.repair import BEFORE, INVALID_ID, OVERFLOW, data_columns, quoted
 from registrum.options import Options
+from registrum.sources.delimited import FILE, LINE
 from registrum.specs import TableSpec
 
 TRIGGERS = (
@@ -155,6 +156,19 @@ def gate_records(gated: DataFrame) -> DataFrame:
     )
 
 
+def line_records(lines: DataFrame, spec: TableSpec) -> DataFrame:
+    """Quarantine records of lines (``_file``, ``line``) that have more fields than the table."""
+    return lines.select(
+        F.lit(spec.table).alias("table"),
+        F.lit(spec.name).alias("config"),
+        F.col(FILE).alias("chunk"),
+        F.lit("malformed_line").alias("reason"),
+        F.array().cast("array<string>").alias("fields"),
+        F.to_json(F.struct(LINE)).alias("row"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
 def missing_critical(spec: TableSpec, columns: Sequence[str]) -> Column:
     checks = [F.col(c).isNull() for c in spec.critical if c in columns]
     return reduce(or_, checks) if checks else F.lit(False)

@@ -20,14 +20,14 @@ from registrum.operators.membership import (
 )
 from registrum.operators.profile import column_stats, summary, totals
 from registrum.operators.quality import (
-    accepted_rows, gate_records, row_records, skip_invalid_ids, telemetry, with_gate,
+    accepted_rows, gate_records, line_records, row_records, skip_invalid_ids, telemetry, with_gate,
 )
 from registrum.operators.repair import conform, repair
 from registrum.options import Options
 from registrum.session import write_and_reread
 from registrum.sinks.records import metric_lines, write_json_lines, write_metrics, write_summary
 from registrum.sinks.tables import clustered, write_by_state, write_table
-from registrum.sources.delimited import FILE, read_table
+from registrum.sources.delimited import FILE, malformed, read_delimited, read_table
 from registrum.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -81,23 +81,27 @@ def build_table(
     opts: Options = Options(),
     maps: Maps = Maps(),
     chunk: Column | None = None,
+    rejected: DataFrame | None = None,
 ) -> BuildResult:
     """One table from its text rows.
 
     ``chunk`` numbers the chunks unless ``raw`` has ``_chunk`` already. The telemetry is
     written to the shared folder first: the gate reads it back, small and of known size.
-    With ``opts.stage`` the repaired rows are written too, so that a costly source is
-    parsed once.
+    The repaired rows are written too with ``opts.stage``, so that a costly source is parsed once,
+    and wherever the chunks are numbered here: their numbers rest on the partitions of one run, and
+    telemetry, gate, load and quarantine must see the same ones.
+    ``rejected`` are lines (``_file``, ``line``) the reader left out; they go to quarantine.
     """
     domains = domains or {}
+    numbered = chunk is None and CHUNK not in raw.columns
     if chunk is not None:
         raw = raw.withColumn(CHUNK, chunk)
-    elif CHUNK not in raw.columns:
+    elif numbered:
         if FILE not in raw.columns:
             raw = raw.withColumn(FILE, F.lit(spec.name))
         raw = chunk_by_file(raw, opts.chunk_size)
     repaired = repaired_rows(raw, spec, opts, maps)
-    if opts.stage:
+    if opts.stage or numbered:
         repaired = write_and_reread(repaired, spec.name)
     records = write_and_reread(
         with_gate(telemetry(repaired, spec, opts.level), opts), f"{spec.name}-telemetry"
@@ -118,12 +122,14 @@ def build_table(
     loaded = skip_invalid_ids(typed) if opts.skip_invalid_ids else typed
     clean = loaded.select(*[c for c in spec.column_names if c in loaded.columns])
     stats = column_stats(clean)
+    quarantine = row_records(typed, spec, opts.skip_invalid_ids).unionByName(gate_records(records))
+    if rejected is not None:
+        as_text = quarantine.withColumn("chunk", F.col("chunk").cast("string"))
+        quarantine = as_text.unionByName(line_records(rejected, spec))
     return BuildResult(
         spec=spec,
         clean=clean,
-        quarantine=row_records(typed, spec, opts.skip_invalid_ids).unionByName(
-            gate_records(records)
-        ),
+        quarantine=quarantine,
         telemetry=records,
         stats=stats,
         summary=summary(spec, records, stats, opts),
@@ -134,11 +140,12 @@ def build_table(
 def write_result(result: BuildResult, out: str, opts: Options = Options()) -> None:
     """Table, quarantine, telemetry, summary and metrics under ``out``."""
     spec, target = result.spec, f"{out}/tables/{result.spec.table}"
-    if opts.partition_by_state and "uf" in spec.column_names:
-        rows = result.clean
-        if opts.cluster_by_state:
-            rows = clustered(rows, ["uf"], list(spec.key))
-        write_by_state(rows, target, allow_overwrite=opts.allow_overwrite)
+    by_state = "uf" in result.clean.columns
+    sort = ["uf", *spec.key] if opts.cluster_by_state else []
+    if opts.partition_by_state and by_state:
+        write_by_state(result.clean, target, allow_overwrite=opts.allow_overwrite, sort=sort)
+    elif opts.cluster_by_state and by_state:
+        write_table(clustered(result.clean, ["uf"], list(spec.key)), target, opts.allow_overwrite)
     else:
         write_table(result.clean, target, opts.allow_overwrite)
     # Statistics come from the written columns, not from another run of the repair.
@@ -174,16 +181,19 @@ def build_all(
     loaded: Mapping[str, DataFrame] | None = None,
     only: Collection[str] | None = None,
     exclude: Collection[str] | None = None,
+    rejected: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, BuildResult]:
     """Builds the selected tables that have rows in ``raw``; ``loaded`` are parent tables
-    from earlier runs. A table without input is skipped with a warning."""
+    from earlier runs, ``rejected`` the lines left out per table (see ``read_rejected``). A table
+    without input is skipped with a warning."""
     domains = dict(loaded or {})
     results = {}
     for spec in selected(only, exclude):
         if spec.name not in raw:
             log.warning("no input for table %s; skipped", spec.name)
             continue
-        result = build_table(raw[spec.name], spec, domains, opts, maps)
+        lines = (rejected or {}).get(spec.name)
+        result = build_table(raw[spec.name], spec, domains, opts, maps, rejected=lines)
         results[spec.name] = result
         domains[spec.table] = result.clean
     return results
@@ -200,6 +210,18 @@ def read_folder(spark: SparkSession, folder: str, opts: Options = Options()) ->
     return found
 
 
+def read_rejected(spark: SparkSession, folder: str, opts: Options = Options()) -> dict:
+    """The overlong lines that ``read_folder`` leaves out, per table."""
+    found = {}
+    for name, spec in TABLES.items():
+        try:
+            df = read_delimited(spark, f"{folder}/{name}", spec.read_schema(), opts)
+        except AnalysisException:
+            continue
+        found[name] = malformed(df, len(spec.source_columns))
+    return found
+
+
 def all_quarantine(results: Mapping[str, BuildResult]) -> DataFrame:
     frames = [
         r.quarantine.withColumn("chunk", F.col("chunk").cast("string"))

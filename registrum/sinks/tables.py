@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,14 +67,16 @@ def state_partition(state: Column, states: tuple[str, ...] = STATES) -> Column:
 
 
 def write_by_state(
-    df: DataFrame, path: str, state: str = "uf", allow_overwrite: bool = False
+    df: DataFrame, path: str, state: str = "uf", allow_overwrite: bool = False,
+    sort: Sequence[str] = (),
 ) -> None:
     """One folder per state. Rebalancing splits a state that holds much of the table over
-    several tasks and files, and joins small ones."""
-    parted = df.withColumn(PART, state_partition(F.col(state)))
+    several tasks and files, and joins small ones. ``sort`` orders the rows of each file."""
+    parted = df.withColumn(PART, state_partition(F.col(state))).hint("rebalance", PART)
+    if sort:
+        parted = parted.sortWithinPartitions(PART, *sort)
     (
-        parted.hint("rebalance", PART)
-        .write.mode(save_mode(allow_overwrite))
+        parted.write.mode(save_mode(allow_overwrite))
         .partitionBy(PART)
         .parquet(path)
     )

@@ -1,7 +1,8 @@
 """Zip archives: categories, integrity report, lines of their members.
 
 A deflated member cannot be split, so one task streams it; archives and their members are
-spread over tasks. Give many archives rather than one large one.
+spread over tasks. Give many archives rather than one large one. Every member is judged before
+its lines are read: a damaged one gives no line and a row in ``archive_rejects``.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import io
 import posixpath
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,10 +18,12 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from registrum.session import write_and_reread
 from registrum.sources.delimited import FILE, LINE
 
 UNKNOWN_CATEGORY = "desconhecido"
 BATCH_LINES = 10_000
+READ_BYTES = 1 << 20
 
 
 def category(path: Column) -> Column:
@@ -46,12 +50,17 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.zip") -> DataFra
     )
 
 
-def open_shared(path: str) -> io.BufferedIOBase:
-    """Opens a file of any filesystem pyarrow knows, for random access."""
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path within it."""
     scheme, sep, rest = path.partition(":")
     if sep and rest.startswith("/") and not rest.startswith("//"):
         path = f"{scheme}://{rest}"
-    fs, inner = pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(path)
+
+
+def open_shared(path: str) -> io.BufferedIOBase:
+    """Opens a file of any filesystem pyarrow knows, for random access."""
+    fs, inner = filesystem(path)
     return fs.open_input_file(inner)
 
 
@@ -93,25 +102,52 @@ def archive_report(paths: DataFrame) -> DataFrame:
     return paths.select("path").mapInPandas(check, schema)
 
 
-def archive_members(paths: DataFrame) -> DataFrame:
-    """``path, member, size``; unsafe names and unreadable archives are left out."""
+def _damage(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> str | None:
+    """Reads a member to its end, in pieces; what is wrong with it, if anything."""
+    try:
+        with archive.open(info) as data:
+            while data.read(READ_BYTES):
+                pass
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as error:
+        return f"damaged member: {type(error).__name__}"
+    return None
 
-    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def archive_entries(paths: DataFrame) -> DataFrame:
+    """``path, member, size, reason``: every member, and every archive that cannot be opened (with a
+    null member). ``reason`` is null for members that can be read."""
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path in batch["path"]:
                 try:
                     with open_shared(path) as raw, zipfile.ZipFile(raw) as archive:
-                        rows += [
-                            (path, info.filename, info.file_size)
-                            for info in archive.infolist()
-                            if not info.is_dir() and safe_member(info.filename)
-                        ]
-                except (zipfile.BadZipFile, OSError):
-                    continue
-            yield pd.DataFrame(rows, columns=["path", "member", "size"])
+                        for info in archive.infolist():
+                            if info.is_dir():
+                                continue
+                            safe = safe_member(info.filename)
+                            reason = _damage(archive, info) if safe else "unsafe member"
+                            rows.append((path, info.filename, info.file_size, reason))
+                except FileNotFoundError:
+                    rows.append((path, None, None, "missing"))
+                except (zipfile.BadZipFile, UnicodeDecodeError):
+                    rows.append((path, None, None, "not a zip"))
+            frame = pd.DataFrame(rows, columns=["path", "member", "size", "reason"])
+            yield frame.astype({"size": "Int64"})
+
+    schema = "path string, member string, size long, reason string"
+    return paths.select("path").mapInPandas(entries, schema)
+
+
+def archive_members(paths: DataFrame) -> DataFrame:
+    """``path, member, size`` of the members that can be read."""
+    return archive_entries(paths).where("reason is null").drop("reason")
+
 
-    return paths.select("path").mapInPandas(members, "path string, member string, size long")
+def archive_rejects(paths: DataFrame) -> DataFrame:
+    """``path, member, reason`` of what ``archive_members`` leaves out."""
+    return archive_entries(paths).where("reason is not null").select("path", "member", "reason")
 
 
 def member_lines(members: DataFrame, encoding: str = "latin-1") -> DataFrame:
@@ -146,9 +182,14 @@ def _streamed(path: str, member: str, encoding: str) -> Iterator[pd.DataFrame]:
             yield _frame(path, member, first, buffer)
 
 
-def read_archives(spark: SparkSession, folder: str, encoding: str = "latin-1") -> DataFrame:
-    """Lines of all archives of a folder, with the category of each archive."""
-    files = list_files(spark, folder)
-    return member_lines(archive_members(files), encoding).withColumn(
-        "category", category(F.col("path"))
-    )
+def read_archives(
+    spark: SparkSession, folder: str, encoding: str = "latin-1"
+) -> tuple[DataFrame, DataFrame]:
+    """Lines of all archives of a folder, with the category of each archive; and what was rejected.
+
+    The members are judged once and written, so both frames rest on the same verdicts.
+    """
+    entries = write_and_reread(archive_entries(list_files(spark, folder)), "archive-entries")
+    lines = member_lines(entries.where("reason is null"), encoding)
+    rejects = entries.where("reason is not null").select("path", "member", "reason")
+    return lines.withColumn("category", category(F.col("path"))), rejects

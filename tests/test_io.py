@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from registrum.options import Options
 from registrum.plans.integrity import integrity_pass
-from registrum.plans.tables import build_all, build_table, read_folder, selected, write_result
+from registrum.plans.tables import (
+    build_all, build_table, read_folder, read_rejected, selected, write_result,
+)
 from registrum.sinks.records import records_per_file, write_json_lines
 from registrum.sinks.sql_folder import run_sql_folder
 from registrum.sinks.tables import PART, save_bucketed, write_by_state, write_exchange, write_table
@@ -91,15 +93,73 @@ def test_archives(spark, tmp_path):
     assert status["Bad.zip"] == (False, "not a zip")
     assert status["Broken.zip"][0] is False
     assert status["None.zip"] == (False, "missing")
-    good = files.where(~F.col("path").endswith("Broken.zip"))
-    lines = archives.member_lines(archives.archive_members(good))
-    named = lines.withColumn("category", archives.category(F.col("path")))
+    named, rejects = archives.read_archives(spark, str(folder))
+    left = {(r.path.rsplit("/", 1)[1], r.member): r.reason for r in rejects.collect()}
+    assert left == {
+        ("Bad.zip", None): "not a zip", ("Empresas1.zip", "../out.csv"): "unsafe member",
+        ("Empresas1.zip", "/abs.csv"): "unsafe member",
+        ("Broken.zip", "c.csv"): "damaged member: BadZipFile",
+    }
+    assert rows(archives.archive_rejects(missing), "member", "reason") == [(None, "missing")]
+    assert rows(archives.archive_members(files), "member") == [("a.csv",), ("c.csv",), ("d/b.csv",)]
     assert rows(named, "category", "member", "line_no", "line") == [
         ("empresas", "a.csv", 1, "1;x"), ("empresas", "a.csv", 2, "2;y"),
         ("empresas", "d/b.csv", 1, "3;é"), ("socios", "c.csv", 1, "4;é"),
     ]
 
 
+def test_overlong_lines_are_recorded(spark, tmp_path):
+    put(tmp_path / "in/paises/a.csv", "1;Um\n2;B;extra\n3;Tres\n")
+    folder = str(tmp_path / "in")
+    opts = replace(UTF8, strict_membership=False)
+    built = build_all(read_folder(spark, folder, opts), opts, rejected=read_rejected(spark, folder, opts))
+    result = built[COUNTRIES.name]
+    assert sorted(r.codigo for r in result.clean.collect()) == [1, 3]
+    assert [(r.reason, json.loads(r.row)) for r in result.quarantine.collect()] == [
+        ("malformed_line", {"line": "2;B;extra"})
+    ]
+
+
+def test_chunks_of_a_shuffled_source_are_stable(spark):
+    # Of the rows of a chunk, either all or none are loaded, however often they are read.
+    raw = spark.range(40_000).select(
+        F.concat("id", F.lit("")).alias("cnpj_basico"), F.lit("x").alias("razao_social")
+    )
+    missing = [c for c in COMPANIES.column_names if c not in raw.columns]
+    raw = raw.withColumns({c: F.lit(None).cast("string") for c in missing}).repartition(7)
+    opts = Options(strict_membership=False, chunk_size=1000, gate_null_delta_ratio=0.05)
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        result = build_table(raw, COMPANIES, {}, opts)
+        first = result.clean.count()
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+        again = len(result.clean.select("cnpj_basico", "razao_social").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    accepted = result.telemetry.where("not gated").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    assert first == again == accepted
+    assert result.telemetry.agg(F.sum("rows")).first()[0] == 40_000
+
+
+@pytest.mark.parametrize("by_state", [False, True])
+def test_clustering_survives_the_write(spark, tmp_path, by_state):
+    raw = spark.range(3000).select(
+        F.lpad(F.reverse(F.col("id").cast("string")), 8, "0").alias("cnpj_basico"),
+        F.element_at(F.array(*map(F.lit, ("SP", "RJ", "MG"))), (F.col("id") % 3 + 1).cast("int")).alias("uf"),
+    )
+    spec = TABLES["estabelecimentos"]
+    missing = [c for c in spec.column_names if c not in raw.columns]
+    raw = raw.withColumns({c: F.lit(None).cast("string") for c in missing})
+    opts = Options(strict_membership=False, gates=False, cluster_by_state=True, partition_by_state=by_state)
+    write_result(build_table(raw, spec, {}, opts), str(tmp_path / "out"), opts)
+    written = spark.read.parquet(str(tmp_path / f"out/tables/{spec.table}"))
+    by_file: dict = {}
+    for r in written.select(F.input_file_name().alias("f"), "uf", "cnpj_basico").collect():
+        by_file.setdefault(r.f, []).append((r.uf, r.cnpj_basico))
+    assert written.count() == 3000
+    assert all(found == sorted(found) for found in by_file.values())
+
+
 @pytest.mark.parametrize(
     ("name", "safe"),
     [("a.csv", True), ("d/../a.csv", True), ("../a", False), ("/a", False), ("d/../../a", False),
