@@ -200,24 +200,53 @@ def similarity(one: bytes, other: bytes) -> float:
     return both / (len(a) + len(b) - both)
 
 
+class Forest:
+    """Classes that grow by links, with path halving."""
+
+    def __init__(self) -> None:
+        self._parent: dict[int, int] = {}
+
+    def top(self, node: int) -> int:
+        parent = self._parent
+        while (above := parent.setdefault(node, node)) != node:
+            parent[node] = node = parent[above]
+        return node
+
+    def join(self, one: int, other: int) -> None:
+        self._parent[self.top(one)] = self.top(other)
+
+
 def verified(pairs: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar enough, compared exactly."""
-    one = contents.select(F.col("node").alias("a"), F.col("units").alias("units_a"))
-    other = contents.select(F.col("node").alias("b"), F.col("units").alias("units_b"))
+    """Links (a, b) among the pairs (node, rep), compared exactly.
+
+    A task leaves out what its earlier links connect already, so it returns fewer links than it
+    has nodes, and the classes stay the same.
+    """
+    one = contents.select("node", F.col("units").alias("units_a"))
+    other = contents.select(F.col("node").alias("rep"), F.col("units").alias("units_b"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
         for batch in batches:
-            like = [similarity(x, y) >= threshold for x, y in zip(batch[2].to_pylist(), batch[3].to_pylist())]
-            yield batch.select(["a", "b"]).filter(pa.array(like, pa.bool_()))
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            like = []
+            for i, (x, y) in enumerate(zip(a, b)):
+                new = forest.top(x) != forest.top(y)
+                new = new and similarity(batch.column(2)[i].as_py(), batch.column(3)[i].as_py()) >= threshold
+                if new:
+                    forest.join(x, y)
+                like.append(new)
+            yield batch.select([0, 1]).rename_columns(["a", "b"]).filter(pa.array(like, pa.bool_()))
 
     # Sizes alone rule out many pairs before anything is compared.
     small, large = F.least(F.length("units_a"), F.length("units_b")), F.greatest(F.length("units_a"), F.length("units_b"))
-    joined = pairs.join(one, "a").join(other, "b").where(small >= threshold * large)
-    return joined.select("a", "b", "units_a", "units_b").mapInArrow(run, "a long, b long")
+    # The join by node comes last: all pairs of a node then meet in one task.
+    joined = pairs.join(other, "rep").join(one, "node").where(small >= threshold * large)
+    return joined.select("node", "rep", "units_a", "units_b").mapInArrow(run, "a long, b long")
 
 
-def links(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Links between nodes that connect every class: see the head of this file."""
+def labelled(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The label of the class of every node that shares a band: see the head of this file."""
     members = own.select(F.explode("keys").alias("key"), "node").distinct()
     members = write_and_reread(members, "bands")
     # The member that comes first in several orders: aggregates, combined before the shuffle.
@@ -228,7 +257,10 @@ def links(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     stars = members.select(
         "node", F.explode(F.array_distinct(F.array(*[f"r{i}" for i in range(REPRESENTATIVES)]))).alias("rep")
     ).where("node <> rep")
-    stars = stars.select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b")).distinct()
+    # Two representatives of each other are one pair.
+    ends = stars.groupBy(F.least("node", "rep").alias("low"), F.greatest("node", "rep").alias("high"))
+    stars = ends.agg(F.min("node").alias("node"))
+    stars = stars.select("node", F.when(F.col("node") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("rep"))
     shared = members.select("node").distinct()
     contents = own.join(shared, "node", "left_semi").dropDuplicates(["node"]).select("node", "keys", "units")
     contents = write_and_reread(contents, "contents")
@@ -245,15 +277,20 @@ def links(own: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     open_buckets = write_and_reread(largest.where("classes > 1"), "open")
     rest = classed.join(open_buckets, "key").select("key", "node", "label", "main", "others", "n")
-    return found.unionByName(across(rest, contents, threshold))
+    # Whole classes are joined from here on, so only their labels take part.
+    merged = components(across(rest, contents, threshold)).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    nodes = classed.select("node", "label").distinct().join(merged, "label", "left")
+    return nodes.select("node", F.coalesce("to", "label").alias("label"))
 
 
 def across(rest: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
-    """Compares those outside the main class of a bucket with all members of other classes.
+    """Links (a, b) between the labels of classes that have similar members in one bucket.
 
+    Those outside the main class of a bucket are compared with all members of other classes.
     Outsiders are dealt to groups of about OUTSIDERS and members to chunks of about MEMBERS; a
     task compares one group with one chunk. A pair that shares several bands is compared in the
-    first of them.
+    first of them. Classes that a task has linked already are not compared again, so it returns
+    fewer links than it has classes.
     """
     groups = F.ceil(F.col("others") / OUTSIDERS).cast("int")
     chunks = F.ceil(F.col("n") / MEMBERS).cast("int")
@@ -272,19 +309,38 @@ def across(rest: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
     dealt = outsiders.unionByName(members).join(contents, "node")
 
     def compare(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        a, b = [], []
-        for x in (r for r in rows if r["first"]):
-            for y in (r for r in rows if not r["first"]):
-                if y["label"] == x["label"] or (y["loose"] and y["node"] <= x["node"]):
-                    continue
-                small, large = sorted((len(x["units"]), len(y["units"])))
-                if small < threshold * large:
-                    continue
-                shared = next(k for k, m in zip(x["keys"], y["keys"]) if k == m)
-                if shared == x["key"] and similarity(x["units"], y["units"]) >= threshold:
-                    a.append(x["node"])
-                    b.append(y["node"])
+        is_first = np.asarray(table["first"].to_pylist(), bool)
+        outer, inner = table.filter(pa.array(is_first)), table.filter(pa.array(~is_first))
+        a, b, forest = [], [], Forest()
+        if not len(outer) or not len(inner):
+            return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        columns = inner.select(["node", "label", "loose"]).to_pydict()
+        nodes, labels, loose = (np.asarray(columns[c]) for c in ("node", "label", "loose"))
+        keys = np.asarray(inner["keys"].to_pylist())
+        # The units of all members in one order: a search finds who shares each unit of a text.
+        units = [np.frombuffer(u, "<u4") for u in inner["units"].to_pylist()]
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        units, owner = np.concatenate(units), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        order = np.argsort(units, kind="stable")
+        units, owner = units[order], owner[order]
+        for x in outer.to_pylist():
+            shared = keys == np.asarray(x["keys"])
+            here = np.asarray(x["keys"])[shared.argmax(axis=1)] == x["key"]
+            own = np.frombuffer(x["units"], "<u4")
+            alike = np.minimum(sizes, len(own)) >= threshold * np.maximum(sizes, len(own))
+            due = here & alike & (labels != x["label"]) & ~(loose & (nodes <= x["node"]))
+            if not due.any():
+                continue
+            low, high = np.searchsorted(units, own), np.searchsorted(units, own, side="right")
+            runs = high - low
+            at = np.repeat(low - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+            both = np.bincount(owner[at], minlength=len(sizes))
+            for i in np.flatnonzero(due & (both / (sizes + len(own) - both) >= threshold)).tolist():
+                other = int(labels[i])
+                if forest.top(x["label"]) != forest.top(other):
+                    forest.join(x["label"], other)
+                    a.append(x["label"])
+                    b.append(other)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.groupBy("key", "group", "chunk").applyInArrow(compare, "a long, b long")
@@ -293,7 +349,7 @@ def across(rest: DataFrame, contents: DataFrame, threshold: float) -> DataFrame:
 def _placed(df: DataFrame, doc_id: str, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Every row with the label of its class, and the first row of each class."""
     own = sketches(df, doc_id, text)
-    labels = components(links(own, threshold))
+    labels = labelled(own, threshold)
     placed = own.select("id", "version", "node").join(labels, "node", "left")
     placed = write_and_reread(placed.select("id", "version", F.coalesce("label", "node").alias("label")), "placed")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
