@@ -11,11 +11,11 @@ documents agree in a sample with a probability equal to their generalised Jaccar
 (sum of the smaller weights over the sum of the larger ones), so the share of equal samples
 estimates it with a standard error of at most 1 / (2 * sqrt(SAMPLES)).
 
-A gamma quantile is read from a table of ``2 ** TABLE_BITS`` equally likely values instead of
-two logarithms per draw. Draws of different terms stay alike in distribution, so terms of equal
-weight are still equally likely to win; only unequal weights feel the rounding. A sample is packed as a long (a first, term and t below), so the
-fingerprint is a hash aggregate of longs and stays in generated code; words are counted within
-their row and never shuffled.
+A gamma draw is -ln(u * v) of two uniform numbers. c takes both from a hash of its own, 32 bits
+each, since the smallest draws decide which of many rare words wins in a long text; r and b share
+another hash. A sample is packed as a long (a first, term and t below), so the fingerprint is a
+hash aggregate of longs and stays in generated code; words are counted within their row and never
+shuffled.
 
 Null text counts as empty. A text without words has the fingerprint of zeros, equal to that of
 any other such text and unlike all others.
@@ -23,31 +23,21 @@ any other such text and unlike all others.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 64
-TABLE_BITS = 8
-_BETA_BITS = 64 - 2 * TABLE_BITS
+SHAPE_BITS = 21
 # ln a lies well within -2**6 .. 2**6; the rest of 31 bits is its fraction.
 _SCALE = float(1 << 24)
 
 
-def gamma_quantiles() -> np.ndarray:
-    """Equally likely values of the gamma distribution with shape 2."""
-    share = (np.arange(1 << TABLE_BITS) + 0.5) / (1 << TABLE_BITS)
-    low, high = np.zeros_like(share), np.full_like(share, 64.0)
-    for _ in range(80):
-        middle = (low + high) / 2
-        below = 1 - np.exp(-middle) * (1 + middle) < share
-        low, high = np.where(below, middle, low), np.where(below, high, middle)
-    return (low + high) / 2
-
-
-def _literal(values: np.ndarray) -> Column:
-    """An array constant; as one string it stays small while the plan is made."""
-    return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
+def _uniform(h: Column, low: int, bits: int) -> Column:
+    """A number strictly between 0 and 1 from ``bits`` bits of a hash, ``low`` bits from its end."""
+    part = F.shiftrightunsigned(h, low) if low else h
+    if low + bits < 64:
+        part = part.bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
+    return (part + F.lit(0.5)) * F.lit(2.0**-bits)
 
 
 def term_weights(text: Column) -> Column:
@@ -79,15 +69,13 @@ def term_weights(text: Column) -> Column:
 
 def samples(term: Column, weight: Column) -> list[Column]:
     """Aggregates: for each sample the smallest packed draw over a document's terms."""
-    table = gamma_quantiles()
-    shapes, logs = _literal(table), _literal(np.log(table))
-    mask = F.lit((1 << TABLE_BITS) - 1).cast("long")
     out = []
     for k in range(SAMPLES):
         h = F.xxhash64(term, F.lit(k))
-        r = F.get(shapes, F.shiftrightunsigned(h, 64 - TABLE_BITS).cast("int"))
-        ln_c = F.get(logs, F.shiftrightunsigned(h, _BETA_BITS).bitwiseAND(mask).cast("int"))
-        b = h.bitwiseAND(F.lit((1 << _BETA_BITS) - 1)) / F.lit(float(1 << _BETA_BITS))
+        g = F.xxhash64(term, F.lit(SAMPLES + k))
+        r = -F.ln(_uniform(h, 64 - SHAPE_BITS, SHAPE_BITS) * _uniform(h, 64 - 2 * SHAPE_BITS, SHAPE_BITS))
+        b = _uniform(h, 0, 64 - 2 * SHAPE_BITS)
+        ln_c = F.ln(-F.ln(_uniform(g, 32, 32) * _uniform(g, 0, 32)))
         t = F.floor(weight / r + b)
         ln_a = ln_c - r * (t - b + 1)
         first = F.floor((F.greatest(F.least(ln_a, F.lit(63.0)), F.lit(-63.0)) + 64.0) * F.lit(_SCALE))

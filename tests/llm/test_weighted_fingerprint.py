@@ -69,3 +69,17 @@ def test_edge_rows(spark):
     assert len(found) == 10
     assert [r.near_next for r in found if r.doc_id is None] == [None, None]
     assert wf.with_edits(df.limit(0), 4).count() == 0
+
+
+def test_rare_words_of_long_texts_win_their_share(spark):
+    """Pairs of texts of 30 000 words: 200 frequent words in common, 10 000 words once in one text only."""
+    rows = []
+    for pair in range(6):
+        frequent = " ".join(f"f{pair}x{i}" for i in range(200))
+        for side in "ab":
+            rare = " ".join(f"{side}{pair}y{i}" for i in range(10_000))
+            rows.append((f"{pair}{side}", f"{frequent} " * 100 + rare))
+    df = spark.createDataFrame(rows, "doc string, text string")
+    found = {r.doc: r.fingerprint for r in wf.fingerprints(df, ["doc"]).collect()}
+    same = [np.mean(np.equal(found[f"{pair}a"], found[f"{pair}b"])) for pair in range(6)]
+    assert abs(np.mean(same) - 0.5) < 0.1
