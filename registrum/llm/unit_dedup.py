@@ -5,8 +5,10 @@ collapsed, punctuation at the ends of words dropped) and their digests grouped o
 documents. The occurrence in the document with the smallest id, and there the first, stays;
 later ones are repeats. Repeats that follow one another form a run. A run of ``min_words``
 words or more is removed; shorter ones, such as a common greeting, are left where they are.
-Units of fewer than ``unit_words`` words are too common to prove anything: they neither make
-nor break a run and go with it when they lie within it.
+Units of fewer than ``unit_words`` words are too common to prove anything one by one: they neither
+make nor break a run and go with it when they lie within it. Where they follow one another (lists,
+menus, verse), every stretch of them that just reaches ``min_words`` words is hashed as a whole, from
+each of them on, and is removed where an earlier document has it.
 
 Only digests are grouped, and the smallest id is a partial aggregate, so a line that a third
 of all documents share is one row per task before the shuffle. Going back from a digest to its
@@ -26,7 +28,7 @@ from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +44,29 @@ def normalised(unit: str) -> list[str]:
     return [w for w in words if w]
 
 
-def units(df: DataFrame, doc_id: str, text: str, unit_words: int) -> DataFrame:
+def stretches(short: list[tuple[int, int, list[str]]], min_words: int) -> Iterator[tuple[int, int, list[str]]]:
+    """From each of some neighbouring units (start, stop, words) on, the fewest that have
+    ``min_words`` words: start, stop, words."""
+    last, count = 0, 0
+    for i, (start, _, own) in enumerate(short):
+        while last < len(short) and count < min_words:
+            count += len(short[last][2])
+            last += 1
+        if count < min_words:
+            return
+        yield start, short[last - 1][1], [w for _, _, words in short[i:last] for w in words]
+        count -= len(own)
+
+
+def hashed(text: str) -> int:
+    digest = blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(digest, "big", signed=True)
+
+
+def units(df: DataFrame, doc_id: str, text: str, unit_words: int, min_words: int) -> DataFrame:
     """One row per unit of at least ``unit_words`` words: id, hash of the text, number of the
-    unit in the text, start and stop in code points, words, digest."""
+    unit in the text, start and stop in code points, words, digest. Stretches of shorter units
+    have numbers below zero, neighbours of each other neighbouring ones."""
     names = ["id", "version", "unit", "start", "stop", "words", "digest"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
 
@@ -55,17 +77,31 @@ def units(df: DataFrame, doc_id: str, text: str, unit_words: int) -> DataFrame:
             for first, last in slices(map(len, texts)):
                 rows, found = [], []
                 for i in range(first, last):
-                    number = 0
+                    number, below = 0, -1
+                    short: list[tuple[int, int, list[str]]] = []
+
+                    def add_stretches() -> None:
+                        nonlocal below
+                        for start, stop, words in stretches(short, min_words):
+                            rows.append(i)
+                            # No unit has a line end, so none has this digest by its text.
+                            found.append((versions[i], below, start, stop, len(words), hashed("\n" + " ".join(words))))
+                            below -= 1
+                        below -= 1
+                        short.clear()
+
                     for match in UNIT.finditer(texts[i]):
                         words = normalised(match[0])
                         if len(words) < unit_words:
+                            if words:
+                                short.append((*match.span(), words))
                             continue
-                        digest = blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+                        if short:
+                            add_stretches()
                         rows.append(i)
-                        found.append(
-                            (versions[i], number, *match.span(), len(words), int.from_bytes(digest, "big", signed=True))
-                        )
+                        found.append((versions[i], number, *match.span(), len(words), hashed(" ".join(words))))
                         number += 1
+                    add_stretches()
                 columns = zip(*found) if found else [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -85,31 +121,43 @@ def units(df: DataFrame, doc_id: str, text: str, unit_words: int) -> DataFrame:
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """The units of ``units`` that are not the earliest of their digest."""
+    """The units of ``units`` that are not the earliest of their digest. Stretches of short units
+    overlap, so they count as repeats of other documents only."""
     shared = found.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     shared = write_and_reread(shared.where("n > 1").select("digest", "first"), "unit-digests")
     again = found.join(shared, "digest")
     later = again.where("first is not null and (id is null or id > first)").drop("first")
     # Repeats within the earliest document itself.
     first = F.min("unit").over(Window.partitionBy("digest", "id", "version"))
-    inner = again.where("id = first").drop("first").withColumn("_first", first).where("unit > _first")
+    inner = again.where("id = first and unit >= 0").drop("first").withColumn("_first", first).where("unit > _first")
     return later.unionByName(inner.drop("_first"))
 
 
 def spans(repeated: DataFrame, min_words: int) -> DataFrame:
     """Runs of repeated units with ``min_words`` words or more, an ordered list per document."""
-    own = Window.partitionBy("id", "version").orderBy("unit")
+    own = Window.partitionBy("id", "version", "short").orderBy("unit")
     # Repeated rows name the same units. One exchange serves all that follows.
     once = repeated.repartition("id", "version").dropDuplicates(["id", "version", "unit"])
     runs = (
-        once.withColumn("run", F.col("unit") - F.row_number().over(own))
-        .groupBy("id", "version", "run")
+        once.withColumn("short", F.col("unit") < 0)
+        .withColumn("run", F.col("unit") - F.row_number().over(own))
+        .groupBy("id", "version", "short", "run")
         .agg(F.sum("words").alias("words"), F.min("start").alias("start"), F.max("stop").alias("stop"))
         .where(F.col("words") >= min_words)
     )
-    return runs.groupBy("id", "version").agg(
-        F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("removed")
-    )
+    ordered = runs.groupBy("id", "version").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("all"))
+
+    def merged(done: Column, span: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["stop"], span["stop"]).alias("stop"))
+        overlaps = (F.size(done) > 0) & (last["stop"] > span["start"])
+        return F.when(overlaps, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(
+            F.concat(done, F.array(span))
+        )
+
+    # Stretches lie within runs or overlap one another.
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    return ordered.select("id", "version", F.aggregate("all", none, merged).alias("removed"))
 
 
 def remove_repeats(
@@ -123,7 +171,7 @@ def remove_repeats(
     in the original text, in code points."""
     if "removed" in df.columns:
         raise ValueError("there is a column removed already")
-    found = write_and_reread(units(df, doc_id, text, unit_words), "units")
+    found = write_and_reread(units(df, doc_id, text, unit_words, min_words), "units")
     cut = spans(repeats(found), min_words).select(
         F.col("id").alias("_id"), F.col("version").alias("_version"), "removed"
     )

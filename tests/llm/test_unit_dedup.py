@@ -94,3 +94,17 @@ def test_query_matches_brute_force(spark):
         text = dict(docs)[r.doc_id]
         assert [tuple(s) for s in r.removed] == wanted[r.doc_id, text]
         assert r.text == cut(text, wanted[r.doc_id, text])
+
+
+def test_lists_of_short_units_go(spark):
+    menu = "\n".join(f"dish{i} price{i}" for i in range(30))
+    rows = [
+        (1, f"First house\n{menu}\nOpen late"),
+        (2, f"Second house\n{menu}\nClosed now"),
+        (3, "\n".join(f"dish{i} price{i + 1}" for i in range(29))),
+        (4, "\n".join(f"dish{i} price{i}" for i in range(12))),
+        (None, f"A sentence of its own.\n{menu}"),
+    ]
+    found = {r.doc_id: r.text for r in unit_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert found == {**texts, 2: "Second house\n\nClosed now", None: "A sentence of its own.\n"}
