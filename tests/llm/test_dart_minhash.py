@@ -80,3 +80,10 @@ def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
     found = {r.node: r.label for r in components(chain).collect()}
     assert found == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_components_of_a_chain_in_random_order(spark):
+    ids = random.Random(3).sample(range(-(10**12), 10**12), 400)
+    chain = spark.createDataFrame([*zip(ids, ids[1:]), (5, 5)], "a long, b long")
+    found = {r.node: r.label for r in components(chain).collect()}
+    assert found == {**dict.fromkeys(ids, min(ids)), 5: 5}
