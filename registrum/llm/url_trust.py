@@ -6,9 +6,10 @@ with the rule's, and the longest rule wins. Pages without a rule get the verdict
 Hosts most of whose pages are allowed by rules are trusted seeds, hosts most of whose pages are
 blocked are distrusted ones, each with the share of those pages as weight. Trust is a
 personalised PageRank over host edges; distrust runs over the same edges reversed, since a page
-answers for what it links to. Edges are the links of the pages to other hosts, counted per pair of
+answers for what it links to. Both are iterated until no rank changes by more than ``TOLERANCE`` of
+itself, so hosts at any distance from a seed are reached. Edges are the links of the pages to other hosts, counted per pair of
 hosts, and one between a host and its parent domain where both have pages. A host is blocked
-where its distrust exceeds its trust.
+where its distrust exceeds its trust by more than ``MARGIN`` of it.
 
 Pages shrink to counts per host and per pair of hosts before anything is joined, by partial
 aggregates. Ranks are written to the shared folder every few rounds. Hosts go back to their pages
@@ -28,8 +29,12 @@ from pyspark.sql import functions as F
 from registrum.session import write_and_reread
 
 DAMPING = 0.85
+# The first test of convergence, then one with every table.
 ROUNDS = 12
 ROUNDS_PER_TABLE = 4
+TOLERANCE = 1e-8
+# Sums of floats depend on their order in the last digits, and ranks end within the tolerance.
+MARGIN = 1e-6
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Absolute links and those that only leave out the scheme.
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
@@ -101,15 +106,22 @@ def ranks(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     shares = shares.select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("out")).alias("share"))
     shares = write_and_reread(shares, "edges")
     start = seeds.withColumn("rank", F.col("rank") * (1 - DAMPING))
-    current = seeds
-    for done in range(1, ROUNDS + 1):
-        moved = current.join(shares, ["kind", "host"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * DAMPING).alias("rank")
-        )
-        current = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if done % ROUNDS_PER_TABLE == 0:
-            current = write_and_reread(current, "ranks")
-    return current
+    current, done = seeds, 0
+    while True:
+        before = current.withColumnRenamed("rank", "old")
+        for _ in range(ROUNDS_PER_TABLE):
+            moved = current.join(shares, ["kind", "host"]).select(
+                "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * DAMPING).alias("rank")
+            )
+            current = moved.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        current = write_and_reread(current, "ranks")
+        done += ROUNDS_PER_TABLE
+        if done >= ROUNDS:
+            # A host that is reached for the first time has no rank before.
+            change = F.abs(F.col("rank") - F.coalesce("old", F.lit(0.0)))
+            changed = current.join(before, ["kind", "host"], "left").where(change > F.col("rank") * TOLERANCE)
+            if changed.isEmpty():
+                return current
 
 
 def judge(
@@ -147,8 +159,7 @@ def judge(
     found = write_and_reread(found, "host-ranks")
     judged = own.join(found, "host", "left")
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
-    # Sums of floats depend on their order in the last digits.
-    by_host = F.when(F.round(distrust - trust, 12) > 0, "block").otherwise("allow")
+    by_host = F.when(distrust > trust * (1 + MARGIN), "block").otherwise("allow")
     return judged.select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", by_host).alias("verdict"),
         trust.alias("trust"), distrust.alias("distrust"),

@@ -109,3 +109,17 @@ def test_query_matches_brute_force(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_trust.judge(df, URL_RULES).count() == 0
+
+
+def test_far_and_thinly_linked_hosts(spark):
+    pages = [(0, "http://bad.net/", "")]
+    # A chain of 30 links, and levels of 100 hosts each that link to one host of the level before.
+    hosts = ["bad.net", *[f"far{i}.com" for i in range(30)]]
+    links = [*zip(hosts[1:], hosts)]
+    for level in range(8):
+        to = f"level{level - 1}x0.com" if level else "bad.net"
+        links += [(f"level{level}x{i}.com", to) for i in range(100)]
+    pages += [(i, f"http://{h}/", f'<a href="http://{to}/">') for i, (h, to) in enumerate(links, 1)]
+    found = run(spark, pages).collect()
+    assert {r.verdict for r in found} == {"block"}
+    assert 0 < min(r.distrust for r in found) < 1e-13
