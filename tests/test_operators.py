@@ -279,3 +279,12 @@ def test_critical_fields_of_presets():
     assert TABLES["socios"].critical == ("cnpj_basico", "cnpj_cpf_socio")
     assert TABLES["simples"].critical == ("cnpj_basico",)
     assert len(TABLES["estabelecimentos"].source_columns) == 30
+
+
+def test_every_table_is_built():
+    """A query of all nine tables is registered, and none of them is left out of its counts."""
+    from checks import CHECKS
+    from registrum.specs import TABLES
+
+    built = CHECKS["build_every_table"].sql
+    assert all(f"'{spec.table}'" in built for spec in TABLES.values())
