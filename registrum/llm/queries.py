@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from registrum.llm import (
     dart_minhash,
     forced_bpe,
+    hard_negatives,
     packing,
     pivot_search,
     preference,
@@ -176,6 +177,31 @@ def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows divisible by 7 carry a wrong label on purpose."""
+    rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, moved)
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS anchor_id, c.vec_id, c.label = q.label AS same,
+  CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+  s.score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score WHERE p.place <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_common_prefix_preference": op1_common_prefix_preference,
     "op2_link_trust": op2_link_trust,
@@ -187,5 +213,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_index_merge": op8_index_merge,
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
+    "op13_inverted_multi_index": op13_inverted_multi_index,
+}
+ORACLES: dict[str, str] = {
+    "op1_common_prefix_preference": OP1_SQL,
+    "op5_pivot_search": OP5_SQL,
+    "op8_index_merge": OP8_SQL,
+    "op13_inverted_multi_index": OP13_SQL,
 }
-ORACLES: dict[str, str] = {"op1_common_prefix_preference": OP1_SQL, "op5_pivot_search": OP5_SQL, "op8_index_merge": OP8_SQL}
