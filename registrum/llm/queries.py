@@ -15,6 +15,7 @@ from registrum.llm import (
     packing,
     pivot_search,
     preference,
+    token_alignment,
     toxicity,
     unit_dedup,
     url_trust,
@@ -177,6 +178,16 @@ def op7_concatenate_and_cut(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_perfect_hash_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    # The ranks are byte_bpe_50k.json's vocabulary in the form the fast encoder reads.
+    files = token_alignment.Vocabularies(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return token_alignment.link_counts(table(spark, folder, "documents", "doc_id", "text"), files)
+
+
 def op13_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     """Rows divisible by 7 carry a wrong label on purpose."""
     rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
@@ -213,6 +224,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_index_merge": op8_index_merge,
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
+    "op11_perfect_hash_alignment": op11_perfect_hash_alignment,
     "op13_inverted_multi_index": op13_inverted_multi_index,
 }
 ORACLES: dict[str, str] = {
