@@ -14,6 +14,7 @@ from registrum.llm import (
     hard_negatives,
     packing,
     pivot_search,
+    ppm,
     preference,
     token_alignment,
     toxicity,
@@ -188,6 +189,15 @@ def op11_perfect_hash_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.link_counts(table(spark, folder, "documents", "doc_id", "text"), files)
 
 
+def op12_partial_matching(spark: SparkSession, folder: str) -> DataFrame:
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    slices = ppm.sliced(table(spark, folder, "documents", "doc_id", "text"), remainder != 1)
+    model = ppm.fit(slices, max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return ppm.score(slices, model).select(
+        "doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op13_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     """Rows divisible by 7 carry a wrong label on purpose."""
     rows = table(spark, folder, "embeddings", "vec_id", "embedding", "label")
@@ -225,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "op11_perfect_hash_alignment": op11_perfect_hash_alignment,
+    "op12_partial_matching": op12_partial_matching,
     "op13_inverted_multi_index": op13_inverted_multi_index,
 }
 ORACLES: dict[str, str] = {
