@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +39,10 @@ from registrum.llm.forced_bpe import slices
 from registrum.llm.perfect_hash import PerfectHash, build_piece, mixed, piece_of
 from registrum.session import fresh_path, write_and_reread
 
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 250_000
+SLICE_TOKENS = 1 << 17
 BAND_PAIRS = 1 << 22
+MERGE_PAIRS = 1 << 20
 PIECE_PAIRS = 1 << 15
 VECTOR_SLICE = 1 << 16
 FAN = 16
@@ -75,6 +78,8 @@ class _Pair:
             piece = self.second.id_to_piece(i)
             byte = self.second.is_byte(i)
             self.second_bytes.append(bytes([int(piece[3:5], 16)]) if byte else piece.replace("▁", " ").encode())
+        # Ids travel in two bytes where both vocabularies fit.
+        self.kind = np.dtype("<u2" if max(size, len(self.second_bytes)) <= 1 << 16 else "<u4")
         self.first_lengths = np.array([len(b) for b in self.first_bytes])
         self.second_lengths = np.array([len(b) for b in self.second_bytes])
         # Ids as decimal text, followed by what may come after them.
@@ -89,15 +94,15 @@ def _pair(files: Vocabularies) -> _Pair:
 
 
 def encode(df: DataFrame, files: Vocabularies, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, doc_id, first and second: the ids as little-endian 32-bit numbers, written to the
-    shared folder. ``row`` tells rows apart."""
+    """row, doc_id, first and second: the ids as little-endian numbers, written to the shared
+    folder. ``row`` tells rows apart."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, row = _pair(files), TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, stop in slices(map(len, texts), SLICE_CHARS):
-                some = texts[start:stop]
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for start, stop in slices(lengths.tolist(), SLICE_CHARS):
+                some = [t or "" for t in batch.column(1).slice(start, stop - start).to_pylist()]
                 seconds = pair.second.encode(some, num_threads=1)
                 first, second = [], []
                 for t, b in zip(some, seconds):
@@ -106,8 +111,8 @@ def encode(df: DataFrame, files: Vocabularies, doc_id: str = "doc_id", text: str
                     spelled = b"".join(map(pair.second_bytes.__getitem__, b))
                     if not t or spelled != whole or b"".join(map(pair.first_bytes.__getitem__, a)) != whole:
                         a, b = [], []
-                    first.append(np.array(a, "<u4").tobytes())
-                    second.append(np.array(b, "<u4").tobytes())
+                    first.append(np.array(a, pair.kind).tobytes())
+                    second.append(np.array(b, pair.kind).tobytes())
                 ids = batch.column(0).slice(start, stop - start)
                 rows = pa.array(np.arange(row, row + stop - start))
                 row += stop - start
@@ -135,10 +140,19 @@ class Aligned:
     owners: np.ndarray  # document of each link
 
 
-def align(pair: _Pair, firsts: list[bytes], seconds: list[bytes]) -> Aligned:
-    first = np.frombuffer(b"".join(firsts), "<u4").astype(np.int64)
-    second = np.frombuffer(b"".join(seconds), "<u4").astype(np.int64)
-    counts = np.array([len(b) // 4 for b in firsts]), np.array([len(b) // 4 for b in seconds])
+def _flat(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column and their number per row, without a copy as Python objects."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    body = column.buffers()[2] or b""
+    size = kind.itemsize
+    ids = np.frombuffer(body, kind, (offsets[-1] - offsets[0]) // size, offsets[0]) if offsets[-1] > offsets[0] else []
+    return np.asarray(ids, np.int64), np.diff(offsets).astype(np.int64) // size
+
+
+def align(pair: _Pair, batch: pa.RecordBatch) -> Aligned:
+    """``batch`` has first and second."""
+    (first, many_first), (second, many_second) = (_flat(batch.column(c), pair.kind) for c in ("first", "second"))
+    counts = many_first, many_second
     # Both sides spell the same bytes document by document, so offsets may run on.
     ends, other = np.cumsum(pair.first_lengths[first]), np.cumsum(pair.second_lengths[second])
     begins = ends - pair.first_lengths[first]
@@ -149,7 +163,7 @@ def align(pair: _Pair, firsts: list[bytes], seconds: list[bytes]) -> Aligned:
     before = np.cumsum(many) - many
     which = np.arange(int(many.sum())) + np.repeat(low - before, many)
     pairs = (np.repeat(first, many) << 32) | second[which]
-    owners = np.repeat(np.repeat(np.arange(len(firsts)), counts[0]), many)
+    owners = np.repeat(np.repeat(np.arange(batch.num_rows), many_first), many)
     return Aligned(
         first,
         second,
@@ -181,11 +195,16 @@ def group_texts(pair: _Pair, found: Aligned) -> list[str]:
     return ["".join(words[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
-def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[bytes]]]:
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        firsts, seconds = batch.column("first").to_pylist(), batch.column("second").to_pylist()
-        for start, stop in slices(map(len, firsts), SLICE_CHARS):
-            yield batch.slice(start, stop - start), firsts[start:stop], seconds[start:stop]
+        sizes = pc.binary_length(batch.column("first")).to_numpy()
+        for start, stop in slices(sizes.tolist(), 2 * SLICE_TOKENS):
+            yield batch.slice(start, stop - start)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
 def band_of(pairs: np.ndarray, bands: int) -> np.ndarray:
@@ -198,11 +217,17 @@ def distinct_pairs(encoded: DataFrame, files: Vocabularies) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(files)
         seen = np.empty(0, np.int64)
-        for _, firsts, seconds in _slices(batches):
-            seen = np.union1d(seen, align(pair, firsts, seconds).pairs)
+        held, size = [], 0
+        for part in _slices(batches):
+            held.append(distinct(align(pair, part).pairs))
+            size += len(held[-1])
+            if size > MERGE_PAIRS:
+                seen = distinct(np.concatenate([seen, *held]))
+                held, size = [], 0
             if len(seen) > BAND_PAIRS:  # bounded memory; equal pairs meet in the shuffle
                 yield pa.RecordBatch.from_arrays([pa.array(seen)], ["pair"])
                 seen = np.empty(0, np.int64)
+        seen = distinct(np.concatenate([seen, *held]))
         yield pa.RecordBatch.from_arrays([pa.array(seen)], ["pair"])
 
     return write_and_reread(encoded.select("first", "second").mapInArrow(run, "pair long").distinct(), "pairs")
@@ -247,15 +272,14 @@ def count_band(encoded: DataFrame, files: Vocabularies, shared, size: int) -> Da
         pair, hashed = _pair(files), shared.value
         counts = np.zeros(size, np.int64)
         some = False
-        for _, firsts, seconds in _slices(batches):
-            found = align(pair, firsts, seconds)
+        for part in _slices(batches):
+            found = align(pair, part)
             if not len(found.pairs):
                 continue
             some = True
-            keys, inverse = np.unique(found.pairs, return_inverse=True)
-            numbers = hashed.numbers(keys)[inverse]
+            numbers = hashed.numbers(found.pairs)
             own = numbers >= 0
-            once = np.unique(found.owners[own] * size + numbers[own]) % size
+            once = distinct(found.owners[own] * size + numbers[own]) % size
             counts += np.bincount(once, minlength=size)
         if not some:
             return
@@ -338,11 +362,10 @@ def _look_up(files: Vocabularies, shared, whole: bool):
         hashed, counts, best = shared.value
         places = np.append(counts, 0)
         top = np.append(counts == best[(hashed.keys >> np.uint64(32)).astype(np.int64)], False)
-        for batch, firsts, seconds in _slices(batches):
-            found = align(pair, firsts, seconds)
+        for batch in _slices(batches):
+            found = align(pair, batch)
             n = batch.num_rows
-            keys, inverse = np.unique(found.pairs, return_inverse=True)
-            numbers = hashed.numbers(keys)[inverse]
+            numbers = hashed.numbers(found.pairs)
             sums = [
                 found.first_counts,
                 found.second_counts,
@@ -356,9 +379,10 @@ def _look_up(files: Vocabularies, shared, whole: bool):
                 digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
             else:
                 sums = [np.zeros(n, np.int64)] * 4
-            totals = np.zeros(n, np.int64)
-            np.add.at(totals, found.owners, places[numbers])
-            sums += [np.bincount(found.owners[top[numbers]], minlength=n), totals]
+            # Links lie document by document; the sum up to each one gives every document's share.
+            upto = np.concatenate([[0], np.cumsum(places[numbers])])
+            bounds = np.searchsorted(found.owners, np.arange(n + 1))
+            sums += [np.bincount(found.owners[top[numbers]], minlength=n), np.diff(upto[bounds])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),

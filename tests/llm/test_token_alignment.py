@@ -85,6 +85,8 @@ def test_matches_brute_force(spark, library, monkeypatch, band_pairs):
     monkeypatch.setattr(token_alignment, "VECTOR_SLICE", 8)
     monkeypatch.setattr(token_alignment, "FAN", 2)
     monkeypatch.setattr(token_alignment, "SLICE_CHARS", 40)
+    monkeypatch.setattr(token_alignment, "SLICE_TOKENS", 30)
+    monkeypatch.setattr(token_alignment, "MERGE_PAIRS", 20)
     rows = [(i, t) for i, t in enumerate(TEXTS, 1)] + [(None, "null id"), (3, "same id"), (3, "same id")]
     df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA).repartition(5)
     assert found(token_alignment.link_counts(df, FILES, band_pairs=band_pairs)) == brute(library, rows)
