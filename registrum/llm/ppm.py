@@ -9,14 +9,16 @@ empty context all 256 bytes that are not excluded are alike. The probabilities o
 sequences sum to at most one.
 
 The trie of contexts is a table. Reading contexts backwards, a subtrie is rooted at the three
-nearest bytes; subtries are dealt to ``buckets``. Counts are gathered per task, then merged as a
-tree, so neither a frequent context nor a hot bucket meets in one task unmerged. Contexts of up to
-two bytes hold at most 2^24 counts whatever the corpus, these are broadcast.
+nearest bytes; subtries are dealt to ``buckets``, and so are the words, whose counts give the base
+score. Counts are gathered per slice or task, then merged as a tree, so neither a frequent context
+nor a hot bucket meets in one task unmerged. Contexts of up to two bytes hold at most 2^24 counts
+whatever the corpus, these are broadcast.
 
 To score, documents are cut into slices of about ``SLICE_BYTES``, one row each and written. A
-slice asks every bucket for the code lengths of its distinct grams; the bucket is repeated once
-per ``ASKING`` slices, so the answering groups are bounded too. Answers return to their slice,
-where each document's code length is summed over all its bytes.
+slice asks every bucket for the code lengths of its distinct grams and the counts of its distinct
+words; the bucket is repeated once per ``ASKING`` slices, so the answering groups are bounded too.
+Answers return to their slice, where each document's code length is summed over all its bytes.
+Keys, counts and texts travel as differences by byte plane, compressed.
 
 Null text counts as empty: one end token. Equal texts get equal scores. Repeated rows learn and
 are scored as often as they occur; a null id stays null, and where ``learns`` is null the document
@@ -26,11 +28,14 @@ does not learn. With nothing learnt, every byte has 1 / 256. Other columns are n
 from __future__ import annotations
 
 import math
+import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +48,9 @@ SLICE_BYTES = 4 << 20
 CHUNK = 1 << 22
 ASKING = 512
 FAN = 16
+WORDS = 300_000  # distinct words that a task counts before it passes them on
 END = b"\n"
+END_WORD = b" "  # the end token among words, which hold no blank
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -88,6 +95,40 @@ class Slice:
             yield grams(self.flat, start, stop), real[start:stop]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Compressed, byte plane by byte plane."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(blob: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob, np.uint64), dtype=np.uint64)
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(END.join(words))
+
+
+def unpacked_words(blob: bytes) -> list[bytes]:
+    whole = zstandard.ZstdDecompressor().decompress(blob)
+    return whole.split(END) if whole else []
+
+
+def distinct_sorted(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     every = np.concatenate([np.empty(0, np.uint64), *keys])
     order = np.argsort(every, kind="stable")
@@ -104,9 +145,10 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def sliced(df: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """slice, ids, learns and bodies, written: one row per about ``SLICE_BYTES``."""
-    kind = df.schema[doc_id].dataType
-    arrow = pa.int64() if kind.simpleString() in ("bigint", "int") else pa.string()
+    """slice, ids, learns, sizes and text, written: one row per about ``SLICE_BYTES``. Ids are
+    long integers or text."""
+    kind = "bigint" if df.schema[doc_id].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint") else "string"
+    arrow = pa.int64() if kind == "bigint" else pa.string()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -120,9 +162,10 @@ def sliced(df: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") ->
                 pa.array([number], pa.int64()),
                 pa.array([ids], pa.list_(arrow)),
                 pa.array([marks], pa.list_(pa.bool_())),
-                pa.array([bodies], pa.list_(pa.binary())),
+                pa.array([[len(b) for b in bodies]], pa.list_(pa.int64())),
+                pa.array([zstandard.ZstdCompressor(level=1).compress(b"".join(bodies))], pa.binary()),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["slice", "ids", "learns", "bodies"])
+            return pa.RecordBatch.from_arrays(columns, ["slice", "ids", "learns", "sizes", "text"])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -137,64 +180,114 @@ def sliced(df: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") ->
         if ids:
             yield row()
 
-    own = F.col(doc_id) if arrow == pa.int64() else F.col(doc_id).cast("string")
-    source = df.select(own.alias("id"), F.col(text).alias("text"), learns.alias("learns"))
-    own_kind = "bigint" if kind.simpleString() == "int" else ("bigint" if arrow == pa.int64() else "string")
-    source = source.withColumn("id", F.col("id").cast(own_kind))
-    schema = f"slice long, ids array<{own_kind}>, learns array<boolean>, bodies array<binary>"
+    source = df.select(F.col(doc_id).cast(kind).alias("id"), F.col(text).alias("text"), learns.alias("learns"))
+    schema = f"slice long, ids array<{kind}>, learns array<boolean>, sizes array<long>, text binary"
     return write_and_reread(source.mapInArrow(run, schema), "slices")
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
-    """One slice at a time, whatever the size of the batch."""
+    """One slice at a time, whatever the size of the batch, with its bodies."""
     for batch in batches:
         for i in range(batch.num_rows):
-            yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            whole, at, bodies = zstandard.ZstdDecompressor().decompress(row.pop("text")), 0, []
+            for size in row["sizes"]:
+                bodies.append(whole[at : at + size])
+                at += size
+            yield row | {"bodies": bodies}
+
+
+def words_of(bodies: list[bytes]) -> list[bytes]:
+    """The tokens of all bodies; ``END_WORD`` stands for each end."""
+    every: list[bytes] = []
+    for body in bodies:
+        every += body.split()
+        every.append(END_WORD)
+    return every
 
 
 @dataclass(frozen=True)
 class Model:
-    """``trie`` has bucket, keys and counts (sorted grams and how often they occurred)."""
+    """``trie`` has bucket, keys, counts (sorted grams and how often they occurred), words and
+    word_counts, all packed."""
 
     trie: DataFrame
     buckets: int
     low: tuple[np.ndarray, np.ndarray]  # grams of contexts of up to two bytes, with counts
+    tokens: int
+    words: int
+
+
+TRIE = "bucket long, node long, keys binary, counts binary, words binary, word_counts binary"
+
+
+def _blob(bucket: int, node: int, keys: np.ndarray, counts: np.ndarray, words: dict[bytes, int]) -> pa.RecordBatch:
+    many = np.fromiter(words.values(), np.int64, len(words))
+    columns = [
+        pa.array([bucket], pa.int64()),
+        pa.array([node], pa.int64()),
+        *(pa.array([p], pa.binary()) for p in (packed_keys(keys), packed(counts), packed_words(list(words)), packed(many))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "node", "keys", "counts", "words", "word_counts"])
+
+
+def _dealt(words, buckets: int) -> list[list[bytes]]:
+    out: list[list[bytes]] = [[] for _ in range(buckets)]
+    for word in words:
+        out[zlib.crc32(word) % buckets].append(word)
+    return out
 
 
 def fit(slices: DataFrame, buckets: int) -> Model:
-    """The trie of all documents that learn."""
+    """The trie of all documents that learn, and the counts of their words."""
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        keys, counts = none
+        words: Counter[bytes] = Counter()
+        node = TaskContext.get().partitionId()
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for b, mine in enumerate(_dealt(words, buckets)):
+                if mine:
+                    yield _blob(b, node, *none, {w: words[w] for w in sorted(mine)})
+
         for row in _rows(batches):
             bodies = [b for b, learns in zip(row["bodies"], row["learns"]) if learns]
             if not bodies:
                 continue
+            words.update(words_of(bodies))
+            if len(words) > WORDS:
+                yield from counted()
+                words.clear()
             for found, real in Slice.of(bodies).chunks():
                 some, many = np.unique(found[real], return_counts=True)
                 keys, counts = merged([keys, some], [counts, many])
+        yield from counted()
         own = bucket_of(keys, buckets)
         order = np.argsort(own, kind="stable")
         bounds = np.searchsorted(own[order], np.arange(buckets + 1))
-        node = TaskContext.get().partitionId()
         for b in range(buckets):
             mine = order[bounds[b] : bounds[b + 1]]
             if len(mine):
-                yield _blob(b, node, keys[mine], counts[mine])
+                yield _blob(b, node, keys[mine], counts[mine], {})
 
     def add(table: pa.Table) -> pa.Table:
-        # At most FAN sets of one bucket.
-        keys = [np.frombuffer(v.as_buffer(), np.uint64) for v in table["keys"]]
-        counts = [np.frombuffer(v.as_buffer(), np.int64) for v in table["counts"]]
+        # Sets of one bucket from FAN nodes.
+        keys = [unpacked_keys(v.as_py()) for v in table["keys"]]
+        counts = [unpacked(v.as_py(), np.int64) for v in table["counts"]]
+        words: dict[bytes, int] = {}
+        for some, many in zip(table["words"], table["word_counts"]):
+            for word, n in zip(unpacked_words(some.as_py()), unpacked(many.as_py(), np.int64).tolist()):
+                words[word] = words.get(word, 0) + n
         bucket, node = table["bucket"][0].as_py(), table["node"][0].as_py()
-        return pa.Table.from_batches([_blob(bucket, node, *merged(keys, counts))])
+        return pa.Table.from_batches([_blob(bucket, node, *merged(keys, counts), dict(sorted(words.items())))])
 
-    schema = "bucket long, node long, keys binary, counts binary"
-    trie = write_and_reread(slices.select("learns", "bodies").mapInArrow(count, schema), "trie")
+    trie = write_and_reread(slices.select("learns", "sizes", "text").mapInArrow(count, TRIE), "trie")
     tallest = trie.agg(F.max("node")).first()[0] or 0
     while True:
         up = trie.withColumn("node", F.floor(F.col("node") / FAN))
-        trie = write_and_reread(up.groupBy("bucket", "node").applyInArrow(add, schema), "trie")
+        trie = write_and_reread(up.groupBy("bucket", "node").applyInArrow(add, TRIE), "trie")
         tallest //= FAN
         if not tallest:
             break
@@ -202,25 +295,25 @@ def fit(slices: DataFrame, buckets: int) -> Model:
     def lower(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for keys, counts in zip(batch.column(0), batch.column(1)):
-                key = np.frombuffer(keys.as_buffer(), np.uint64)
+                key = unpacked_keys(keys.as_py())
                 short = ((key >> np.uint64(8 * (ORDER - 2 + 1))) << np.uint64(8)) | (key & np.uint64(255))
-                some, many = merged([short], [np.frombuffer(counts.as_buffer(), np.int64)])
+                some, many = merged([short], [unpacked(counts.as_py(), np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array(many)], ["gram", "n"])
 
+    def sizes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            many = [unpacked(v.as_py(), np.int64) for v in batch.column(0)]
+            columns = [pa.array([len(m) for m in many], pa.int64()), pa.array([int(m.sum()) for m in many], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["words", "tokens"])
+
     low = trie.select("keys", "counts").mapInArrow(lower, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     # At most 2^24 rows, however large the corpus.
     table = low.orderBy("gram").toArrow()
-    return Model(trie, buckets, (table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy()))
-
-
-def _blob(bucket: int, node: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    columns = [
-        pa.array([bucket], pa.int64()),
-        pa.array([node], pa.int64()),
-        pa.array([keys.tobytes()], pa.binary()),
-        pa.array([counts.tobytes()], pa.binary()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["bucket", "node", "keys", "counts"])
+    total = trie.select("word_counts").mapInArrow(sizes, "words long, tokens long").agg(
+        F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")
+    ).first()
+    grams_, many = table["gram"].to_numpy().astype(np.uint64), table["n"].to_numpy()
+    return Model(trie, buckets, (grams_, many), total.tokens, total.words)
 
 
 class Level:
@@ -323,8 +416,8 @@ def _excluded(longer: Level, nodes: np.ndarray, shorter: Level, steps: int) -> t
 
 
 def lookups(slices: DataFrame, model: Model, repeats: int) -> DataFrame:
-    """slice, bucket and lengths: the code lengths of the slice's distinct grams of that bucket, in
-    the order of the grams. The trie is repeated ``repeats`` times."""
+    """slice, bucket, lengths and counts: the code lengths of the slice's distinct grams of that
+    bucket and the counts of its distinct words, in their order. The trie is repeated ``repeats`` times."""
     buckets = model.buckets
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,100 +426,63 @@ def lookups(slices: DataFrame, model: Model, repeats: int) -> DataFrame:
             own = bucket_of(keys, buckets)
             order = np.argsort(own, kind="stable")
             bounds = np.searchsorted(own[order], np.arange(buckets + 1))
-            some = [b for b in range(buckets) if bounds[b] < bounds[b + 1]]
+            words = _dealt(sorted(set(words_of(row["bodies"]))), buckets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(some, pa.int64()),
-                    pa.array([row["slice"] % repeats] * len(some), pa.int64()),
-                    pa.array([row["slice"]] * len(some), pa.int64()),
-                    pa.array([keys[order[bounds[b] : bounds[b + 1]]].tobytes() for b in some], pa.binary()),
+                    pa.array(range(buckets), pa.int64()),
+                    pa.array([row["slice"] % repeats] * buckets, pa.int64()),
+                    pa.array([row["slice"]] * buckets, pa.int64()),
+                    pa.array([packed_keys(keys[order[x:y]]) for x, y in zip(bounds, bounds[1:])], pa.binary()),
+                    pa.array([packed_words(w) for w in words], pa.binary()),
                 ],
-                ["bucket", "copy", "slice", "asked"],
+                ["bucket", "copy", "slice", "asked", "asked_words"],
             )
 
-    asked = slices.select("slice", "bodies").mapInArrow(ask, "bucket long, copy long, slice long, asked binary")
+    schema = "bucket long, copy long, slice long, asked binary, asked_words binary"
+    asked = slices.select("slice", "sizes", "text").mapInArrow(ask, schema)
     copy = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(repeats - 1).cast("long"))).alias("copy")
-    copies = model.trie.select("bucket", copy, "keys", "counts")
+    copies = model.trie.select("bucket", copy, "keys", "counts", "words", "word_counts")
     shared = slices.sparkSession.sparkContext.broadcast(model.low)
 
     def answer(mine: pa.Table, trie: pa.Table) -> pa.Table:
-        keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        keys, counts, known = np.empty(0, np.uint64), np.empty(0, np.int64), {}
         if trie.num_rows:
-            keys = np.frombuffer(trie["keys"][0].as_buffer(), np.uint64)
-            counts = np.frombuffer(trie["counts"][0].as_buffer(), np.int64)
+            keys = unpacked_keys(trie["keys"][0].as_py())
+            counts = unpacked(trie["counts"][0].as_py(), np.int64)
+            many = unpacked(trie["word_counts"][0].as_py(), np.int64).tolist()
+            known = dict(zip(unpacked_words(trie["words"][0].as_py()), many))
         every = levels(keys, counts, shared.value)
         # Slices share most of their grams; each is worked out once.
-        parts = [np.frombuffer(v.as_buffer(), np.uint64) for v in mine["asked"]]
-        whole = np.unique(np.concatenate([np.empty(0, np.uint64), *parts]))
+        whole = np.empty(0, np.uint64)
+        for v in mine["asked"]:
+            whole = distinct_sorted(np.concatenate([whole, unpacked_keys(v.as_py())]))
         lengths = code_lengths(whole, every).astype(np.float32)
-        out = [lengths[np.searchsorted(whole, p)].tobytes() for p in parts]
-        columns = [mine["slice"], mine["bucket"], pa.array(out, pa.binary())]
-        return pa.Table.from_arrays(columns, ["slice", "bucket", "lengths"])
+        out = [packed(lengths[np.searchsorted(whole, unpacked_keys(v.as_py()))]) for v in mine["asked"]]
+        found = [
+            packed(np.array([known.get(w, 0) for w in unpacked_words(v.as_py())], np.int64)) for v in mine["asked_words"]
+        ]
+        columns = [mine["slice"], mine["bucket"], pa.array(out, pa.binary()), pa.array(found, pa.binary())]
+        return pa.Table.from_arrays(columns, ["slice", "bucket", "lengths", "counts"])
 
     grouped = asked.groupBy("bucket", "copy").cogroup(copies.groupBy("bucket", "copy"))
-    return grouped.applyInArrow(answer, "slice long, bucket long, lengths binary")
+    return grouped.applyInArrow(answer, "slice long, bucket long, lengths binary, counts binary")
 
 
 def distinct(cut: Slice) -> np.ndarray:
     keys = np.empty(0, np.uint64)
     for found, real in cut.chunks():
-        some = np.unique(found[real])
-        keys = np.union1d(keys, some) if len(keys) else some
+        some = distinct_sorted(found[real])
+        keys = distinct_sorted(np.concatenate([keys, some])) if len(keys) else some
     return keys
 
 
-def word_counts(slices: DataFrame) -> DataFrame:
-    """slice, place (of a word in the sorted distinct words of the slice), word and n: how often
-    it occurs in documents that learn. The end token is a word too."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            words, of, learnt = numbered(row["bodies"], row["learns"])
-            n = np.bincount(of[learnt], minlength=len(words))
-            for start in range(0, len(words), 50_000):
-                some = slice(start, start + 50_000)
-                size = len(words[some])
-                columns = [
-                    pa.array([row["slice"]] * size, pa.int64()),
-                    pa.array(np.arange(start, start + size)),
-                    pa.array(words[some], pa.binary()),
-                    pa.array(n[some]),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["slice", "place", "word", "n"])
-
-    return slices.select("slice", "learns", "bodies").mapInArrow(run, "slice long, place long, word binary, n long")
-
-
-def numbered(bodies: list[bytes], learns: list[bool]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Sorted distinct words (END for the end), the place of every token, and whether it is learnt."""
-    every: list[bytes] = []
-    sizes = []
-    for body in bodies:
-        words = body.split()
-        every += words
-        every.append(END)
-        sizes.append(len(words) + 1)
-    words = sorted(set(every))
-    place = dict(zip(words, range(len(words))))
-    of = np.fromiter(map(place.__getitem__, every), np.int64, len(every))
-    return words, of, np.repeat(np.array(learns, bool), sizes)
-
-
 def score(slices: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every document."""
-    spark = slices.sparkSession
-    count = slices.count()
-    lengths = lookups(slices, model, max(1, math.ceil(count / ASKING)))
-    answered = lengths.groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("bucket", "lengths"))).alias("lengths"))
-
-    needed = write_and_reread(word_counts(slices), "words")
-    learnt = write_and_reread(
-        needed.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "learnt-words"
+    lengths = lookups(slices, model, max(1, math.ceil(slices.count() / ASKING)))
+    answered = lengths.groupBy("slice").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "lengths", "counts"))).alias("answers")
     )
-    sums = learnt.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
-    known = needed.select("slice", "place", "word").join(learnt, "word").select("slice", "place", "c")
-    known = known.groupBy("slice").agg(F.collect_list("place").alias("places"), F.collect_list("c").alias("counts"))
-    total, room, buckets = sums.tokens, sums.tokens + 0.5 * (sums.words + 1), model.buckets
+    total, room, buckets = model.tokens, model.tokens + 0.5 * (model.words + 1), model.buckets
     kind = slices.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,34 +491,32 @@ def score(slices: DataFrame, model: Model) -> DataFrame:
             cut = Slice.of(bodies)
             keys = distinct(cut)
             logs = np.empty(len(keys), np.float32)
-            found = [np.frombuffer(p["lengths"], np.float32) for p in row["lengths"]]
+            found = [unpacked(p["lengths"], np.float32) for p in row["answers"]]
             logs[np.argsort(bucket_of(keys, buckets), kind="stable")] = np.concatenate(found)
-            parts = [
-                np.where(real, logs[np.minimum(np.searchsorted(keys, grams_), len(keys) - 1)].astype(np.float64), 0.0)
-                for grams_, real in cut.chunks()
-            ]
-            every = np.concatenate([np.zeros(ORDER), *parts])
-            # Each body ends where the padding of the next one begins, so padding adds nothing.
-            scores = np.array([every[a:b].sum() for a, b in cut.spans])
-            words, of, _ = numbered(bodies, row["learns"])
-            c = np.zeros(len(words), np.int64)
-            if row["places"]:
-                c[np.array(row["places"])] = row["counts"]
-            sizes = np.array([len(b.split()) + 1 for b in bodies])
+            parts = [np.zeros(ORDER)]
+            for some, real in cut.chunks():
+                places = np.minimum(np.searchsorted(keys, some), len(keys) - 1)
+                parts.append(np.where(real, logs[places].astype(np.float64), 0.0))
+            every = np.concatenate(parts)
+            words = words_of(bodies)
+            base: dict[bytes, float] = {}
+            for mine, p in zip(_dealt(sorted(set(words)), buckets), row["answers"]):
+                base.update(zip(mine, np.log10((unpacked(p["counts"], np.int64) + 0.5) / room).tolist()))
+            each = np.fromiter(map(base.__getitem__, words), np.float64, len(words))
+            sizes = np.array([b.count(b" ") + 1 for b in bodies])
             starts = np.cumsum(sizes) - sizes
-            base = np.log10((c + 0.5) / room)[of]
             columns = [
                 pa.array(row["ids"], pa.int64() if kind == "bigint" else pa.string()),
                 pa.array(sizes),
-                pa.array(np.add.reduceat((c > 0)[of].astype(np.int64), starts)),
+                # A word without a count has the least value there is.
+                pa.array(np.add.reduceat((each > math.log10(0.75 / room)).astype(np.int64), starts)),
                 pa.array(np.full(len(bodies), total)),
-                pa.array(np.add.reduceat(base, starts)),
-                pa.array(scores),
+                pa.array(np.add.reduceat(each, starts)),
+                pa.array(np.array([every[x:y].sum() for x, y in cut.spans])),
             ]
             yield pa.RecordBatch.from_arrays(
                 columns, ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
             )
 
-    whole = slices.join(answered, "slice").join(known, "slice", "left")
     schema = f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return whole.mapInArrow(run, schema)
+    return slices.join(answered, "slice").mapInArrow(run, schema)

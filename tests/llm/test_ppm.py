@@ -82,6 +82,7 @@ def test_matches_brute_force(spark, monkeypatch, small):
         monkeypatch.setattr(ppm, "CHUNK", 16)
         monkeypatch.setattr(ppm, "ASKING", 2)
         monkeypatch.setattr(ppm, "FAN", 2)
+        monkeypatch.setattr(ppm, "WORDS", 5)
     texts = ["The cat sat on the mat", None, "", "the CAT\tsat\x0bagain\n\n", "Ünï cödé   wörds", "a" * 200, "the cat sat on the mat"]
     texts += [f"the {w} of the {w} is here" for w in ("house", "mouse", "horse", "hearse", "zebra")]
     rows = [(i, t) for i, t in enumerate(texts)] + [(40, "same"), (40, "same"), (None, "null id here"), (41, "\x00\x1c odd \x85")]
