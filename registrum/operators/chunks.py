@@ -41,6 +41,34 @@ def chunk_by_position(df: DataFrame, chunk_size: int) -> DataFrame:
     ).drop("_partition", "_offset", "_start")
 
 
+def chunk_by_place(df: DataFrame, chunk_size: int, file: str, position: str) -> DataFrame:
+    """Blocks of ``chunk_size`` records of each file, from the records' places in it, counted from 0.
+
+    The key is text: file and block number. It is the same for any split of the files and any
+    partitioning of ``df``; no pass and no shuffle is needed.
+    """
+    block = F.floor(F.col(position) / chunk_size).cast("string")
+    return df.withColumn(CHUNK, F.concat_ws("#", F.coalesce(file, F.lit("")), block))
+
+
+def chunk_by_content(df: DataFrame, chunk_size: int) -> DataFrame:
+    """Chunks of about ``chunk_size`` rows for rows without a place, from 1.
+
+    As many chunks as the count of rows asks for; a hash of the whole row picks one. The same rows
+    give the same chunks in any order and partitioning, and equal rows share a chunk, so one may be
+    larger. Costs one count.
+    """
+    chunks = max(1, -(-df.count() // chunk_size))
+    if chunks == 1:
+        return df.withColumn(CHUNK, F.lit(1).cast("long"))
+    hashed = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return chunk_by(df, F.pmod(F.xxhash64(*hashed), F.lit(chunks)) + 1)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def chunk_by_file(df: DataFrame, chunk_size: int, file: str = "_file") -> DataFrame:
     """Blocks within the scanned splits of each file, without a second pass.
 

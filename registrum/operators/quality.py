@@ -157,12 +157,15 @@ def gate_records(gated: DataFrame) -> DataFrame:
 
 
 def line_records(lines: DataFrame, spec: TableSpec) -> DataFrame:
-    """Quarantine records of lines (``_file``, ``line``) that have more fields than the table."""
+    """Quarantine records of lines (``_file``, ``line``) that have more fields than the table, or
+    that are no rows for the reason in ``_reject_reason``."""
+    known = "_reject_reason" in lines.columns
+    reason = F.coalesce("_reject_reason", F.lit("malformed_line")) if known else F.lit("malformed_line")
     return lines.select(
         F.lit(spec.table).alias("table"),
         F.lit(spec.name).alias("config"),
         F.col(FILE).alias("chunk"),
-        F.lit("malformed_line").alias("reason"),
+        reason.alias("reason"),
         F.array().cast("array<string>").alias("fields"),
         F.to_json(F.struct(LINE)).alias("row"),
         F.current_timestamp().alias("timestamp"),

@@ -38,7 +38,7 @@ class Options:
     json_max_bytes: int = 10_000_000
     daily_rotation: bool = True
     metrics: bool = False
-    stage: bool = False
+    stage: bool = True
 
     def __post_init__(self) -> None:
         if self.level not in LEVELS:

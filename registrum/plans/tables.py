@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrum.operators.chunks import CHUNK, chunk_by_file
+from registrum.operators.chunks import CHUNK, chunk_by_content, chunk_by_place
 from registrum.operators.enrich import (
     CITY, CITY_SOURCE, STATE, STATE_SOURCE, enrich_by_city_name, enrich_by_postal_code,
 )
@@ -27,7 +27,8 @@ from registrum.options import Options
 from registrum.session import write_and_reread
 from registrum.sinks.records import metric_lines, write_json_lines, write_metrics, write_summary
 from registrum.sinks.tables import clustered, write_by_state, write_table
-from registrum.sources.delimited import FILE, malformed, read_delimited, read_table
+from registrum.sources.delimited import FILE, LINE, malformed, read_delimited
+from registrum.sources.whole_records import POSITION, REASON, REJECTED, read_rows
 from registrum.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -85,23 +86,31 @@ def build_table(
 ) -> BuildResult:
     """One table from its text rows.
 
-    ``chunk`` numbers the chunks unless ``raw`` has ``_chunk`` already. The telemetry is
-    written to the shared folder first: the gate reads it back, small and of known size.
-    The repaired rows are written too with ``opts.stage``, so that a costly source is parsed once,
-    and wherever the chunks are numbered here: their numbers rest on the partitions of one run, and
-    telemetry, gate, load and quarantine must see the same ones.
-    ``rejected`` are lines (``_file``, ``line``) the reader left out; they go to quarantine.
+    ``chunk`` numbers the chunks unless ``raw`` has ``_chunk`` already. Otherwise rows with a place in
+    their file (``_file``, ``_position``, as ``read_rows`` gives them) form blocks of ``chunk_size``
+    there, others are dealt by a hash of the row: the gate sees the same chunks however the rows
+    are partitioned. The telemetry is written to the shared folder first: the gate reads it back, small
+    and of known size. The repaired rows are written too, unless ``opts.stage`` is off: telemetry, codes,
+    load, record sizes and quarantine then read columns of one table instead of repairing again. Rows of ``raw`` with a text in ``_rejected`` are lines that cannot be rows; they go to
+    quarantine with their reason; ``rejected`` (``_file``, ``line``) does the same for rows read without it.
     """
     domains = domains or {}
-    numbered = chunk is None and CHUNK not in raw.columns
-    if chunk is not None:
-        raw = raw.withColumn(CHUNK, chunk)
-    elif numbered:
+    if REJECTED in raw.columns:
         if FILE not in raw.columns:
             raw = raw.withColumn(FILE, F.lit(spec.name))
-        raw = chunk_by_file(raw, opts.chunk_size)
+        lines = raw.where(F.col(REJECTED).isNotNull()).select(FILE, F.col(REJECTED).alias(LINE), REASON)
+        raw = raw.where(F.col(REJECTED).isNull()).drop(REJECTED, REASON)
+        rejected = lines
+    if chunk is not None:
+        raw = raw.withColumn(CHUNK, chunk)
+    elif CHUNK not in raw.columns:
+        if FILE in raw.columns and POSITION in raw.columns:
+            raw = chunk_by_place(raw, opts.chunk_size, FILE, POSITION)
+        else:
+            raw = chunk_by_content(raw, opts.chunk_size)
+    raw = raw.drop(POSITION)
     repaired = repaired_rows(raw, spec, opts, maps)
-    if opts.stage or numbered:
+    if opts.stage:
         repaired = write_and_reread(repaired, spec.name)
     records = write_and_reread(
         with_gate(telemetry(repaired, spec, opts.level), opts), f"{spec.name}-telemetry"
@@ -200,18 +209,20 @@ def build_all(
 
 
 def read_folder(spark: SparkSession, folder: str, opts: Options = Options()) -> dict:
-    """Text rows of every table that has a folder of files below ``folder``."""
+    """Text rows of every table that has a folder of files below ``folder``, with their places.
+    Quoted fields may hold line breaks. Lines that cannot be rows come along in ``_rejected``, and
+    ``build_table`` puts them into quarantine."""
     found = {}
     for name, spec in TABLES.items():
         try:
-            found[name] = read_table(spark, spec, f"{folder}/{name}", opts)
+            found[name] = read_rows(spark, spec, f"{folder}/{name}", opts)
         except AnalysisException:
             log.warning("no files for table %s", name)
     return found
 
 
 def read_rejected(spark: SparkSession, folder: str, opts: Options = Options()) -> dict:
-    """The overlong lines that ``read_folder`` leaves out, per table."""
+    """The overlong lines of a folder, per table, for rows that were read by ``read_table``."""
     found = {}
     for name, spec in TABLES.items():
         try:

@@ -17,9 +17,8 @@ from registrum.operators.chunks import CHUNK
 from registrum.operators.profile import column_stats, totals
 from registrum.options import Options
 from registrum.plans.tables import Maps, build_table
-from registrum.sources.delimited import (
-    corrupt_text, csv_options, tokens_to_null, well_formed, with_corrupt,
-)
+from registrum.sources.delimited import CORRUPT, FILE, LINE, overlong, parse_lines
+from registrum.sources.whole_records import OPEN_QUOTE, OVERLONG, REASON, REJECTED, open_at_end
 from registrum.specs import TableSpec
 
 BATCH = "batch_id"
@@ -32,15 +31,25 @@ def stream_table(
     opts: Options = Options(),
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """A stream of the text rows of a folder; files that arrive later join it."""
-    reader = spark.readStream.schema(with_corrupt(spec.read_schema())).options(**csv_options(opts))
+    """A stream of the text rows of a folder; files that arrive later join it. A line is a record
+    here; one that leaves a quote open or has more fields than columns comes along in
+    ``_rejected``, and ``ingest`` puts it into quarantine."""
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    parsed = reader.csv(folder).select(*spec.source_columns, corrupt_text(spec.read_schema()))
-    rows = well_formed(parsed, len(spec.source_columns))
-    rows = tokens_to_null(rows, spec.source_columns, opts.na_tokens)
-    return rows.select(
-        *spec.source_columns, *[F.lit(None).cast("string").alias(c) for c in spec.derived]
+    given = reader.text(folder).select(F.col("_metadata.file_path").alias(FILE), F.col("value").alias(LINE))
+    text = F.col(LINE) if opts.encoding.upper() == "UTF-8" else F.decode(F.col(LINE).cast("binary"), opts.encoding)
+    given = given.withColumn(LINE, F.regexp_replace(text, "^(?:\ufeff|ï»¿)", "")).where(F.trim(LINE) != "")
+    given = given.withColumn("_open", F.when(open_at_end(F.col(LINE)), F.col(LINE)))
+    given = given.withColumn(LINE, F.when(F.col("_open").isNull(), F.col(LINE)))
+    parsed = parse_lines(given, spec.read_schema(), opts)
+    wide = overlong(len(spec.source_columns))
+    return parsed.select(
+        FILE,
+        *[F.when(F.col("_open").isNull() & ~wide, F.col(c)).alias(c) for c in spec.source_columns],
+        *[F.lit(None).cast("string").alias(c) for c in spec.derived],
+        F.when(wide, F.col(CORRUPT)).otherwise(F.col("_open")).alias(REJECTED),
+        F.when(wide, F.lit(OVERLONG)).when(F.col("_open").isNotNull(), F.lit(OPEN_QUOTE)).alias(REASON),
     )
 
 
