@@ -13,6 +13,7 @@ from registrum.operators.integrity import (
 )
 from registrum.operators.profile import row_counts
 from registrum.operators.repair import repair
+from registrum.options import Options
 from registrum.plans.integrity import integrity_pass
 from registrum.specs import ESTABLISHMENTS, UNKNOWN_CODE, UNKNOWN_COMPANY
 
@@ -180,3 +181,40 @@ def backfilled_parents(t: Tables) -> DataFrame:
         one = filled.agg(F.count(F.lit(1)).alias("added")).select(F.lit(name).alias("tbl"), "added")
         out = one if out is None else out.union(one)
     return out.select("tbl", s("added").cast("long").alias("added"))
+
+
+def _full_sql(child: str, column: str, parent: str, source: str, known: str, number: bool) -> str:
+    key = f"TRY_CAST({column} AS INT)" if number else column
+    return f"""SELECT '{child}' AS child, '{column}' AS col, '{parent}' AS parent,
+        CAST(count(*) AS BIGINT) AS orphan_rows, count(DISTINCT {key}) AS orphan_keys,
+        CAST(min({key}) AS VARCHAR) AS first_key FROM {source}
+        WHERE {key} IS NOT NULL AND {key} NOT IN ({known})"""
+
+
+NATIONS, CITIES_IN = "SELECT n_nationkey FROM nation", "SELECT s_suppkey FROM supplier"
+REGIONS, PARTS, FIRMS = "SELECT r_regionkey FROM region", "SELECT p_partkey FROM part", "SELECT cnpj_basico FROM raw_empresas"
+
+
+@check(
+    "orphans_of_all",
+    "A12 P3",
+    " UNION ALL ".join(
+        _full_sql(*r)
+        for r in (
+            ("empresas", "natureza_juridica_codigo", "naturezas_juridicas", "raw_empresas", REGIONS, True),
+            ("empresas", "qualificacao_responsavel", "qualificacoes_socios", "raw_empresas", REGIONS, True),
+            ("estabelecimentos", "cnpj_basico", "empresas", "rep_basic", FIRMS, False),
+            ("estabelecimentos", "pais_codigo", "paises", "rep_basic", NATIONS, True),
+            ("estabelecimentos", "municipio_codigo", "municipios", "rep_basic", CITIES_IN, True),
+            ("estabelecimentos", "cnae_fiscal_principal_codigo", "cnaes", "rep_basic", PARTS, True),
+            ("simples", "cnpj_basico", "empresas", "(SELECT * FROM raw_simples WHERE length(cnpj_basico) = 8)", FIRMS, False),
+            ("socios", "cnpj_basico", "empresas", "raw_socios", FIRMS, False),
+            ("socios", "pais_codigo", "paises", "raw_socios", NATIONS, True),
+            ("socios", "qualificacao_socio_codigo", "qualificacoes_socios", "raw_socios", REGIONS, True),
+        )
+    ),
+)
+def orphans_of_all(t: Tables) -> DataFrame:
+    """Every column of the report, before any backfill: all relations from one scan per child."""
+    report = integrity_pass(t.loaded, Options(backfill=False)).foreign_keys
+    return report.withColumnRenamed("column", "col")

@@ -8,14 +8,15 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from checks.readers import UTF8, folder, na_sql
+from checks.inputs import blank_to_null, of_length
+from checks.readers import UTF8, folder, na_sql, write_archives
 from checks.registry import Tables, check
 from registrum.options import Options
-from registrum.plans.tables import build_table
+from registrum.plans.tables import build_all, build_table, read_archived
 from registrum.session import write_and_reread
 from registrum.sinks.tables import write_exchange
 from registrum.sources.whole_records import read_rows
-from registrum.specs import COMPANIES, ESTABLISHMENTS, REGIMES
+from registrum.specs import COMPANIES, ESTABLISHMENTS, REGIMES, TABLES
 
 SPLIT_BYTES = 64 << 10
 BLOCK = 4000
@@ -115,3 +116,67 @@ def rejects_accounted(t: Tables) -> DataFrame:
         kinds = recorded.select(F.col("reason").alias("kind")).unionByName(result.clean.select(F.lit("clean").alias("kind")))
         counted = write_and_reread(kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("rows")), "accounted")
     return counted.unionByName(t.spark.read.text(path).select(F.lit("lines").alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def digest_sql(*columns: str) -> str:
+    """Rows and a sum over the digests of their cells."""
+    row = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns) + ")"
+    return f"count(*) AS rows, CAST(sum(CAST('0x' || substr(md5({row}), 1, 8) AS BIGINT)) AS BIGINT) AS digest"
+
+
+SHOWN = {
+    "empresas": ("cnpj_basico", "razao_social", "ente_federativo_responsavel"),
+    "estabelecimentos": ("cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "cep"),
+    "simples": ("cnpj_basico", "opcao_pelo_simples", "opcao_pelo_mei"),
+    "socios": ("cnpj_basico", "nome_socio_ou_razao_social"),
+}
+DOMAIN_SOURCES = {
+    "paises": ("nation", "n_nationkey", "n_name"),
+    "municipios": ("supplier", "s_suppkey", "s_name"),
+    "qualificacoes_socios": ("region", "r_regionkey", "r_name"),
+    "naturezas_juridicas": ("region", "r_regionkey", "r_name"),
+    "cnaes": ("part", "p_partkey", "p_name"),
+}
+RAW = {"empresas": "raw_empresas", "estabelecimentos": "raw_estab", "simples": "raw_simples", "socios": "raw_socios"}
+
+
+def cleaned_sql(column: str) -> str:
+    """Null tokens, then the cleaner of the column at level basic."""
+    given = f"(CASE WHEN {column} IN ('', ' ', 'NULL', 'NA', 'nan', 'None') THEN NULL ELSE {column} END)"
+    if column in ("razao_social", "nome_fantasia", "nome_socio_ou_razao_social"):
+        return blank_to_null(given)
+    widths = {"cnpj_basico": 8, "cnpj_ordem": 4, "cnpj_dv": 2, "cep": 8}
+    return of_length(given, widths[column]) if column in widths else given
+
+
+@check(
+    "build_from_archives",
+    "S4 S5 P2 A13",
+    " UNION ALL ".join(
+        [f"SELECT '{name}' AS tbl, {digest_sql(key, label)} FROM {source}"
+         for name, (source, key, label) in DOMAIN_SOURCES.items()]
+        + [f"SELECT '{name}', {digest_sql(*map(cleaned_sql, SHOWN[name]))} FROM {source}" for name, source in RAW.items()]
+    ),
+)
+def build_from_archives(t: Tables) -> DataFrame:
+    """All nine tables from zip archives, one or more per table and partition. The gates are off: the
+    repair changes every id of a representative, so all chunks of the partners would be withheld."""
+    path = folder(t, "zips")
+    for name, spec in TABLES.items():
+        rows = t.domains[spec.table] if spec.table in t.domains else getattr(t, RAW[name])
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c in rows.columns else F.lit("") for c in spec.source_columns]
+        quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in cells]
+        lines = rows.select(F.lit(name).alias("category"), F.concat_ws(";", *quoted).alias("line"))
+        write_archives(lines, "category", "line", path)
+    opts = Options(strict_membership=False, gates=False)
+    raw, rejects = read_archived(t.spark, path, opts)
+    results = build_all(raw, opts)
+    out = None
+    for result in results.values():
+        table = result.spec.table
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SHOWN.get(table, ("codigo", "nome"))]
+        part = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("long")
+        one = result.clean.agg(F.count(F.lit(1)).alias("rows"), F.sum(part).alias("digest"))
+        one = one.select(F.lit(table).alias("tbl"), "rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out

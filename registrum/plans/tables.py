@@ -27,8 +27,9 @@ from registrum.options import Options
 from registrum.session import write_and_reread
 from registrum.sinks.records import metric_lines, write_json_lines, write_metrics, write_summary
 from registrum.sinks.tables import clustered, write_by_state, write_table
+from registrum.sources import archives
 from registrum.sources.delimited import FILE, LINE, malformed, read_delimited
-from registrum.sources.whole_records import POSITION, REASON, REJECTED, read_rows
+from registrum.sources.whole_records import POSITION, REASON, REJECTED, read_rows, records_of, rows_of
 from registrum.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -221,6 +222,29 @@ def read_folder(spark: SparkSession, folder: str, opts: Options = Options()) ->
     return found
 
 
+def read_archived(
+    spark: SparkSession, folder: str, opts: Options = Options(), categories: Mapping[str, str] | None = None
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Text rows of every table from the zip archives of ``folder``, as ``read_folder`` gives them, and
+    the members that cannot be read (``path``, ``member``, ``reason``). The letters a file name begins
+    with tell its table; ``categories`` maps them to table names where they differ."""
+    entries = write_and_reread(archives.archive_entries(archives.list_files(spark, folder)), "archive-entries")
+    named = entries.withColumn("category", archives.category(F.col("path")))
+    good = named.where("reason is null")
+    present = {r.category for r in good.select("category").distinct().collect()}
+    found = {}
+    for name, spec in TABLES.items():
+        own = [c for c in present if (categories or {}).get(c, c) == name]
+        if not own:
+            log.warning("no archives for table %s", name)
+            continue
+        lines = archives.member_lines(good.where(F.col("category").isin(own)), opts.encoding)
+        # A member is read by one task from its start, so it is one split.
+        split = lines.select(F.col(FILE).alias("file"), F.lit(0).cast("long").alias("block"), F.col(LINE).alias("value"))
+        found[name] = rows_of(records_of(split), spec, opts)
+    return found, entries.where("reason is not null").select("path", "member", "reason")
+
+
 def read_rejected(spark: SparkSession, folder: str, opts: Options = Options()) -> dict:
     """The overlong lines of a folder, per table, for rows that were read by ``read_table``."""
     found = {}

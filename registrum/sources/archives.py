@@ -108,14 +108,15 @@ def _damage(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> str | None:
         with archive.open(info) as data:
             while data.read(READ_BYTES):
                 pass
-    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as error:
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError) as error:
         return f"damaged member: {type(error).__name__}"
     return None
 
 
 def archive_entries(paths: DataFrame) -> DataFrame:
-    """``path, member, size, reason``: every member, and every archive that cannot be opened (with a
-    null member). ``reason`` is null for members that can be read."""
+    """``path, member, size, reason, entry``: every member, and every archive that cannot be opened
+    (with a null member). ``reason`` is null for members that can be read. ``entry`` is the member's
+    number in its archive, since an archive may hold several members of one name."""
 
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -123,25 +124,27 @@ def archive_entries(paths: DataFrame) -> DataFrame:
             for path in batch["path"]:
                 try:
                     with open_shared(path) as raw, zipfile.ZipFile(raw) as archive:
-                        for info in archive.infolist():
+                        for entry, info in enumerate(archive.infolist()):
                             if info.is_dir():
                                 continue
                             safe = safe_member(info.filename)
                             reason = _damage(archive, info) if safe else "unsafe member"
-                            rows.append((path, info.filename, info.file_size, reason))
+                            rows.append((path, info.filename, info.file_size, reason, entry))
                 except FileNotFoundError:
-                    rows.append((path, None, None, "missing"))
-                except (zipfile.BadZipFile, UnicodeDecodeError):
-                    rows.append((path, None, None, "not a zip"))
-            frame = pd.DataFrame(rows, columns=["path", "member", "size", "reason"])
-            yield frame.astype({"size": "Int64"})
-
-    schema = "path string, member string, size long, reason string"
+                    rows.append((path, None, None, "missing", None))
+                except (zipfile.BadZipFile, ValueError):  # too short a file gives a ValueError
+                    rows.append((path, None, None, "not a zip", None))
+                except OSError as error:  # a reject row, so that one unreadable file ends no job
+                    rows.append((path, None, None, f"unreadable: {type(error).__name__}", None))
+            frame = pd.DataFrame(rows, columns=["path", "member", "size", "reason", "entry"])
+            yield frame.astype({"size": "Int64", "entry": "Int64"})
+
+    schema = "path string, member string, size long, reason string, entry long"
     return paths.select("path").mapInPandas(entries, schema)
 
 
 def archive_members(paths: DataFrame) -> DataFrame:
-    """``path, member, size`` of the members that can be read."""
+    """``path, member, size, entry`` of the members that can be read."""
     return archive_entries(paths).where("reason is null").drop("reason")
 
 
@@ -151,35 +154,42 @@ def archive_rejects(paths: DataFrame) -> DataFrame:
 
 
 def member_lines(members: DataFrame, encoding: str = "latin-1") -> DataFrame:
-    """``path, member, line_no, line`` of every member, streamed in small batches."""
+    """``path, member, line_no, line`` of every member, streamed in small batches. A member is read
+    by its number where ``entry`` names it; ``_file`` then tells members of one name apart."""
+    if "entry" not in members.columns:
+        members = members.withColumn("entry", F.lit(None).cast("long"))
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, member in zip(batch["path"], batch["member"]):
-                yield from _streamed(path, member, encoding)
+            for path, member, entry in zip(batch["path"], batch["member"], batch["entry"]):
+                yield from _streamed(path, member, None if pd.isna(entry) else int(entry), encoding)
 
-    schema = f"path string, member string, line_no long, {LINE} string"
-    spread = members.select("path", "member").repartition("path", "member")
-    return spread.mapInPandas(lines, schema).withColumn(FILE, F.concat_ws("!", "path", "member"))
+    schema = f"path string, member string, line_no long, {LINE} string, {FILE} string"
+    spread = members.select("path", "member", "entry").repartition("path", "member", "entry")
+    return spread.mapInPandas(lines, schema)
 
 
-def _frame(path: str, member: str, first: int, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"path": path, "member": member, "line_no": range(first, first + len(lines)), LINE: lines}
-    )
+def _frame(path: str, member: str, label: str, first: int, lines: list[str]) -> pd.DataFrame:
+    numbers = range(first, first + len(lines))
+    return pd.DataFrame({"path": path, "member": member, "line_no": numbers, LINE: lines, FILE: f"{path}!{label}"})
 
 
-def _streamed(path: str, member: str, encoding: str) -> Iterator[pd.DataFrame]:
-    with open_shared(path) as raw, zipfile.ZipFile(raw) as archive, archive.open(member) as data:
-        buffer, first = [], 1
-        marked = data.peek(3)[:3] == b"\xef\xbb\xbf"
-        for line in io.TextIOWrapper(data, "utf-8-sig" if marked else encoding, newline=None):
-            buffer.append(line.rstrip("\n"))
-            if len(buffer) == BATCH_LINES:
-                yield _frame(path, member, first, buffer)
-                first, buffer = first + len(buffer), []
-        if buffer:
-            yield _frame(path, member, first, buffer)
+def _streamed(path: str, member: str, entry: int | None, encoding: str) -> Iterator[pd.DataFrame]:
+    with open_shared(path) as raw, zipfile.ZipFile(raw) as archive:
+        every = archive.infolist()
+        info = archive.getinfo(member) if entry is None else every[entry]
+        again = entry is not None and any(e.filename == member for e in every[:entry])
+        label = f"{member}#{entry}" if again else member
+        with archive.open(info) as data:
+            buffer, first = [], 1
+            marked = data.peek(3)[:3] == b"\xef\xbb\xbf"
+            for line in io.TextIOWrapper(data, "utf-8-sig" if marked else encoding, newline=None):
+                buffer.append(line.rstrip("\n"))
+                if len(buffer) == BATCH_LINES:
+                    yield _frame(path, member, label, first, buffer)
+                    first, buffer = first + len(buffer), []
+            if buffer:
+                yield _frame(path, member, label, first, buffer)
 
 
 def read_archives(

@@ -164,6 +164,12 @@ def read_records(
     )
     first = F.regexp_replace("value", "^(?:﻿|ï»¿)", "")
     lines = lines.withColumn("value", F.when(F.col("block") == 0, first).otherwise(F.col("value")))
+    return records_of(lines, sep, max_lines)
+
+
+def records_of(lines: DataFrame, sep: str = ";", max_lines: int = MAX_LINES) -> DataFrame:
+    """Records of lines (``file``, ``block``, ``value``) that lie in their partitions split by split and in
+    the order of the file; ``block`` orders the splits of a file."""
     coded = lines.withColumns(
         {"code": _line_function(F.col("value"), sep), "blank": F.coalesce(F.trim(F.regexp_replace("value", "\\s", "")) == "", F.lit(True))}
     )
@@ -230,7 +236,11 @@ def read_rows(
 ) -> DataFrame:
     """A registry table as text with ``_file`` and ``_position``. Records that cannot be rows (more
     fields than columns, an open quote) are rows without values whose text is in ``_rejected``."""
-    records = read_records(spark, paths, opts.encoding, sep)
+    return rows_of(read_records(spark, paths, opts.encoding, sep), spec, opts, sep)
+
+
+def rows_of(records: DataFrame, spec: TableSpec, opts: Options = Options(), sep: str = ";") -> DataFrame:
+    """Fields of records, as ``read_rows`` gives them."""
     width = len(spec.source_columns)
     parsed = parse_lines(records, spec.read_schema(), opts, sep)
     wide = overlong(width, sep)

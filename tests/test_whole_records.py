@@ -169,3 +169,23 @@ def test_gate_does_not_depend_on_partitions(spark, tmp_path, small_splits, bad):
     (records, kept, _), = outcomes
     assert [r[1] for r in records] == [100] * 4
     assert kept == (0 if bad == 400 else 300)
+
+
+def test_members_of_one_name_and_tables_from_archives(spark, tmp_path):
+    import warnings
+    import zipfile
+
+    from registrum.plans.tables import read_archived
+
+    with warnings.catch_warnings(), zipfile.ZipFile(tmp_path / "Simples1.zip", "w") as archive:
+        warnings.simplefilter("ignore")  # one name twice
+        archive.writestr("a.csv", "\n".join(regimes(3)))
+        archive.writestr("a.csv", '00000007;"S\r\n";;;N;;\n00000008;N;;;N;;\n')
+        archive.writestr("../a.csv", "outside")
+    (tmp_path / "Simples2.zip").write_bytes(b"no zip")
+    opts = Options(strict_membership=False, encoding="latin-1")
+    raw, rejects = read_archived(spark, str(tmp_path), opts)
+    assert list(raw) == ["simples"]
+    clean = build_all(raw, opts)["simples"].clean
+    assert sorted(r.cnpj_basico for r in clean.collect()) == [f"{i:08d}" for i in (0, 1, 2, 7, 8)]
+    assert sorted((r.member or "", r.reason) for r in rejects.collect()) == [("", "not a zip"), ("../a.csv", "unsafe member")]
