@@ -25,11 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrum.llm.chunk_memo import ChunkMemo
+from registrum.llm.chunk_memo import CHARS, ChunkMemo
 from registrum.llm.forced_bpe import slices
 from registrum.session import write_and_reread
 
 WINDOW = 4096
+PART_ENTRIES = 200_000
+# Marks that never join a letter before them; an apostrophe may.
+MARKS = '.,;:!?%$#*&@()[]{}"-+=/_|~^`'
 
 
 @functools.lru_cache(maxsize=2)
@@ -42,13 +45,37 @@ def _memo(path: str) -> ChunkMemo:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+
     def encode(chunks: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+        nonlocal known, older
+        if len(known) > PART_ENTRIES:
+            known, older = {}, known  # what is met again moves on, the rest goes with the next turn
+        split = list(map(parts_of, chunks))
+        missing = set(p for parts in split for p in parts).difference(known)
+        known.update((p, older[p]) for p in missing & older.keys())
+        new = [p for p in missing if p not in older]
+        found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        known.update((p, struct.pack(f"<{len(e.ids)}I", *e.ids)) for p, e in zip(new, found))
+        out = [b"".join([known[p] for p in parts]) for parts in split]
+        for p in new:
+            if len(p) > CHARS:
+                del known[p]
+        return out
 
     return ChunkMemo(encode)
 
 
+def parts_of(chunk: str) -> tuple[str, ...]:
+    """A word of Latin-1 letters and the marks after it, which the tokenizer parts as well and takes
+    without regard to case; any other chunk as it is."""
+    word = chunk.rstrip(MARKS)
+    if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
+        return (word.lower(), chunk[len(word) :]) if len(word) < len(chunk) else (word.lower(),)
+    return (chunk,)
+
+
 def encode_partitions(
     df: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:

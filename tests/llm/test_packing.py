@@ -77,3 +77,11 @@ def test_query(spark, library):
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
     wanted = {d.doc_id: expected_ids(library, d.text) for d in docs}
     check_pieces(op7_concatenate_and_cut(spark, folder).collect(), wanted, 4096)
+
+
+def test_parts_have_the_ids_of_the_whole(library):
+    words = ["Word", "word's", "don't,", "ABC...", "x_y", "a1", "é!", "Été,", "<|endoftext|>", "w<|endoftext|>", "w<|", "I'm!!", "('quote')"]
+    words += [w + m for w in ("The", "zz", "Straße") for m in packing.MARKS] + ["end.'", "a.b", "ﬁn.", "İ.", "K", "ÀÇÑß,", "µm", "1ª", "e\u0301.", "ÿ!", "Ÿ!", "Āb."]
+    memo = packing._memo(WORD)
+    for word in words:
+        assert np.frombuffer(memo.ids([word])[0], "<u4").tolist() == library.encode(word, add_special_tokens=False).ids, word
