@@ -17,7 +17,7 @@ from __future__ import annotations
 import functools
 import os
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +25,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrum.llm.chunk_memo import CHARS, ChunkMemo
+from registrum.llm.chunk_memo import CHARS
 from registrum.llm.forced_bpe import slices
 from registrum.session import write_and_reread
 
 WINDOW = 4096
-PART_ENTRIES = 200_000
+CHUNK_ENTRIES = 200_000
+PART_ENTRIES = 150_000
+WORD_BATCH = 2_000
 # Marks that never join a letter before them; an apostrophe may.
 MARKS = '.,;:!?%$#*&@()[]{}"-+=/_|~^`'
 
 
 @functools.lru_cache(maxsize=2)
-def _memo(path: str) -> ChunkMemo:
+def _memo(path: str) -> Memo:
     """What this worker remembers of the tokenizer's ids."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -45,35 +47,91 @@ def _memo(path: str) -> ChunkMemo:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    known: dict[str, bytes] = {}
-    older: dict[str, bytes] = {}
-
-    def encode(chunks: list[str]) -> list[bytes]:
-        nonlocal known, older
-        if len(known) > PART_ENTRIES:
-            known, older = {}, known  # what is met again moves on, the rest goes with the next turn
-        split = list(map(parts_of, chunks))
-        missing = set(p for parts in split for p in parts).difference(known)
-        known.update((p, older[p]) for p in missing & older.keys())
-        new = [p for p in missing if p not in older]
-        found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update((p, struct.pack(f"<{len(e.ids)}I", *e.ids)) for p, e in zip(new, found))
-        out = [b"".join([known[p] for p in parts]) for parts in split]
-        for p in new:
-            if len(p) > CHARS:
-                del known[p]
+    # Of a word of plain letters only the last token closes a word.
+    closing = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab().items():
+        closing[i] = token.endswith("</w>")
+
+    def encode(parts: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def encode_words(words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for start in range(0, len(words), WORD_BATCH):
+            some = words[start : start + WORD_BATCH]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(closing[ids]) + 1)
+            if len(ends) != len(some):  # some token of a word is not in the vocabulary
+                out += encode(some)
+                continue
+            whole = ids.tobytes()
+            out += [whole[x:y] for x, y in zip([0, *ends[:-1].tolist()], ends.tolist())]
         return out
 
-    return ChunkMemo(encode)
+    return Memo(encode, encode_words)
+
 
+class Memo:
+    """Remembers the ids of the chunks between blanks and, in two generations, those of their parts.
+
+    A chunk of Latin-1 letters with marks after it has two parts, which the tokenizer takes apart as
+    well, the letters without regard to case; any other chunk is one part.
+    """
 
-def parts_of(chunk: str) -> tuple[str, ...]:
-    """A word of Latin-1 letters and the marks after it, which the tokenizer parts as well and takes
-    without regard to case; any other chunk as it is."""
-    word = chunk.rstrip(MARKS)
-    if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
-        return (word.lower(), chunk[len(word) :]) if len(word) < len(chunk) else (word.lower(),)
-    return (chunk,)
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], encode_words: Callable[[list[str]], list[bytes]]) -> None:
+        self._encode, self._encode_words = encode, encode_words
+        self._chunks: dict[str, bytes] = {"": b""}
+        self._parts: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        known = self._chunks
+        if len(known) > CHUNK_ENTRIES:
+            known.clear()
+            known[""] = b""
+        rows = [t.replace("\n", " ").split(" ") for t in texts]
+        missing: set[str] = set()
+        for row in rows:
+            missing.update([c for c in row if c not in known])
+        self._learn(list(missing))
+        out = [b"".join(map(known.__getitem__, row)) for row in rows]
+        for chunk in missing:
+            if len(chunk) > CHARS:
+                del known[chunk]
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self._parts) > PART_ENTRIES:
+            # What is met again moves on, the rest goes with the next turn.
+            self._parts, self._older = {}, self._parts
+        parts, older = self._parts, self._older
+        words, marks = [], []
+        for chunk in chunks:
+            word = chunk.rstrip(MARKS)
+            if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
+                words.append(word.lower())
+                marks.append(chunk[len(word) :])
+            else:
+                words.append(chunk)
+                marks.append("")
+        missing = [p for p in {*words, *marks} if p not in parts]
+        plain, others = [], []
+        for p in missing:
+            ids = older.get(p)
+            if ids is not None:
+                parts[p] = ids
+            elif p.isalpha() and (p.isascii() or max(p) <= "ÿ") and p.islower():
+                plain.append(p)
+            else:
+                others.append(p)
+        parts.update(zip(plain, self._encode_words(plain)))
+        parts.update(zip(others, self._encode(others)))
+        learnt = zip(map(parts.__getitem__, words), map(parts.__getitem__, marks))
+        self._chunks.update(zip(chunks, [a + b if b else a for a, b in learnt]))
+        for p in missing:
+            if len(p) > CHARS:
+                del parts[p]
 
 
 def encode_partitions(
