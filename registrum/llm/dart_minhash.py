@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from registrum.llm.components import components
 from registrum.llm.forced_bpe import slices
-from registrum.llm.unit_dedup import ENDS
+from registrum.llm.unit_dedup import ENDS, free_name
 from registrum.session import write_and_reread
 
 SHINGLE = 5
@@ -371,6 +371,7 @@ def one_of_each(
     """``df`` with one row of each class, that with the smallest id. All columns are kept."""
     heads = _placed(df, doc_id, text, threshold)[1]
     heads = heads.select(F.col("class_id").alias("_id"), F.col("version").alias("_version"))
-    rows = df.withColumn("_of", F.xxhash64(text))
-    kept = rows.join(heads, (rows["_of"] == heads["_version"]) & rows[doc_id].eqNullSafe(heads["_id"]), "left_semi")
-    return kept.dropDuplicates([doc_id, "_of"]).drop("_of")
+    of = free_name(df, "_of")
+    rows = df.withColumn(of, F.xxhash64(text))
+    kept = rows.join(heads, (rows[of] == heads["_version"]) & rows[doc_id].eqNullSafe(heads["_id"]), "left_semi")
+    return kept.dropDuplicates([doc_id, of]).drop(of)

@@ -160,6 +160,13 @@ def spans(repeated: DataFrame, min_words: int) -> DataFrame:
     return ordered.select("id", "version", F.aggregate("all", none, merged).alias("removed"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer where a column has it already."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def remove_repeats(
     df: DataFrame,
     doc_id: str = "doc_id",
@@ -175,8 +182,9 @@ def remove_repeats(
     cut = spans(repeats(found), min_words).select(
         F.col("id").alias("_id"), F.col("version").alias("_version"), "removed"
     )
-    own = df.withColumn("_of", F.xxhash64(text))
-    joined = own.join(cut, (own["_of"] == cut["_version"]) & own[doc_id].eqNullSafe(cut["_id"]), "left")
+    of = free_name(df, "_of")
+    own = df.withColumn(of, F.xxhash64(text))
+    joined = own.join(cut, (own[of] == cut["_version"]) & own[doc_id].eqNullSafe(cut["_id"]), "left")
     # What lies between the end of one span and the start of the next.
     kept = F.transform(
         F.sequence(F.lit(0), F.size("removed")),

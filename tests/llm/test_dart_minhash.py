@@ -87,3 +87,9 @@ def test_components_of_a_chain_in_random_order(spark):
     chain = spark.createDataFrame([*zip(ids, ids[1:]), (5, 5)], "a long, b long")
     found = {r.node: r.label for r in components(chain).collect()}
     assert found == {**dict.fromkeys(ids, min(ids)), 5: 5}
+
+
+def test_one_of_each_keeps_user_columns(spark):
+    rows = [(1, "the same text in two rows of the table", "a"), (2, "the same text in two rows of the table", "b"), (3, "another", "c")]
+    found = dm.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, _of string")).collect()
+    assert sorted((r.doc_id, r["_of"]) for r in found) == [(1, "a"), (3, "c")]

@@ -108,3 +108,11 @@ def test_lists_of_short_units_go(spark):
     found = {r.doc_id: r.text for r in unit_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     texts = dict(rows)
     assert found == {**texts, 2: "Second house\n\nClosed now", None: "A sentence of its own.\n"}
+
+
+def test_user_columns_of_any_name_stay(spark):
+    line = "One line of more than a few words that two documents share with each other here. " * 3
+    rows = [(1, line, "a", 7), (2, line, "b", 8), (3, "Alone.", "c", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _of string, _id int")
+    found = unit_dedup.remove_repeats(df).collect()
+    assert sorted((r.doc_id, r["_of"], r["_id"]) for r in found) == [(k, o, i) for k, _, o, i in rows]
