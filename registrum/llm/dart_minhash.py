@@ -50,6 +50,9 @@ MEMBERS = 512
 # Width of the first slab: a text of 4096 shingles or more needs no other.
 FIRST_SLAB = 2.0 ** -3
 _WORDS = 300_000
+# What a text costs besides its characters, and the cost of those sketched together.
+_SHORT = 4_000
+_TOGETHER = 400_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -85,15 +88,43 @@ class Words:
 
 
 def shingle_units(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles with their weights."""
-    if not len(words):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    size = min(SHINGLE, len(words))
-    count = len(words) - size + 1
-    shingles = np.full(count, np.uint64(size))
-    for i in range(size):
-        shingles = mix(shingles * _STEP + words[i : i + count])
-    return np.unique(shingles, return_counts=True)
+    """The distinct shingles of one text with their weights."""
+    return shingles_of(words, np.array([len(words)]))[:2]
+
+
+def shingles_of(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingles of texts that follow one another (their numbers of words in
+    ``sizes``): shingles, weights, number of the text, in the order of the texts."""
+    counts = np.where(sizes >= SHINGLE, sizes - SHINGLE + 1, np.minimum(sizes, 1))
+    stops = np.cumsum(counts)
+    owner = np.repeat(np.arange(len(sizes)), counts)
+    starts = np.repeat(np.cumsum(sizes) - sizes, counts) + np.arange(len(owner)) - np.repeat(stops - counts, counts)
+    width = np.minimum(sizes, SHINGLE)[owner]
+    shingles = width.astype(np.uint64)
+    for size in np.unique(width).tolist():
+        here = width == size
+        part, first = shingles[here], starts[here]
+        for i in range(size):
+            part = mix(part * _STEP + words[first + i])
+        shingles[here] = part
+    sort_within(shingles, stops)
+    first = np.flatnonzero(starts_of_runs(shingles, owner))
+    return shingles[first], np.diff(first, append=len(shingles)), owner[first]
+
+
+def sort_within(values: np.ndarray, stops: np.ndarray) -> None:
+    """Sorts each text's stretch of ``values`` in place."""
+    start = 0
+    for stop in stops.tolist():
+        values[start:stop].sort()
+        start = stop
+
+
+def starts_of_runs(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it in the same text."""
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return new
 
 
 def _poisson(mean: float) -> np.ndarray:
@@ -106,19 +137,26 @@ def _poisson(mean: float) -> np.ndarray:
 
 def signature(elements: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     """The earliest dart of each coordinate. Weights may be fractions; zeros take no part."""
+    return signatures(elements, weights, np.zeros(len(elements), np.int64), 1, samples)[0]
+
+
+def signatures(
+    elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, texts: int, samples: int = SAMPLES
+) -> np.ndarray:
+    """``signature`` of many texts at once, one row each; ``owner`` is the text of an element.
+    All texts throw the darts of a slab together, and those without an empty coordinate leave."""
     weights = np.asarray(weights, np.float64)
-    elements, weights = elements[weights > 0], weights[weights > 0]
-    if not len(elements):
-        return np.zeros(samples, np.uint64)
+    elements, owner, weights = elements[weights > 0], owner[weights > 0], weights[weights > 0]
     units = np.ceil(weights).astype(np.int64)
     number = np.arange(units.sum()) - np.repeat(np.cumsum(units) - units, units)
     strips = mix(np.repeat(elements, units) + mix(number.astype(np.uint64) + _STEP))
     room = np.minimum(np.repeat(weights, units) - number, 1.0)
     whole = bool((room == 1.0).all())
-    best = np.zeros(samples, np.uint64)
-    empty = np.ones(samples, bool)
+    base = np.repeat(owner, units) * samples
+    best = np.zeros(texts * samples, np.uint64)
+    empty = np.ones(texts * samples, bool)
     low, width, slab = 0.0, FIRST_SLAB, 0
-    while empty.any():
+    while len(strips):
         # Wide slabs are cut so that a cell holds one dart on average.
         cells = max(1, round(width))
         keys = strips if cells == 1 else (strips[:, None] + np.arange(cells, dtype=np.uint64) * _M1).ravel()
@@ -131,25 +169,52 @@ def signature(elements: np.ndarray, weights: np.ndarray, samples: int = SAMPLES)
         if not whole:
             inside = uniform(mix(darts ^ _M1)) < room[of // cells]
             of, darts = of[inside], darts[inside]
+        places = base[of // cells] + (mix(darts ^ _STEP) % np.uint64(samples)).astype(np.int64)
+        due = empty[places]
+        of, darts, places = of[due], darts[due], places[due]
         ranks = low + (of % cells + uniform(mix(darts ^ _M2))) * (width / cells)
-        places = (mix(darts ^ _STEP) % np.uint64(samples)).astype(np.int64)
-        order = np.argsort(ranks, kind="stable")
-        order = order[empty[places[order]]]
-        found, at = np.unique(places[order], return_index=True)
-        best[found] = darts[order][at]
-        empty[found] = False
+        # From the last dart to the first, so that the first stays.
+        order = np.argsort(ranks, kind="stable")[::-1]
+        best[places[order]] = darts[order]
+        empty[places] = False
+        going = empty.reshape(texts, samples).any(axis=1)[base // samples]
+        if not going.all():
+            strips, room, base = strips[going], room[going], base[going]
         low, width, slab = low + width, low + width, slab + 1
-    return best
+    return best.reshape(texts, samples)
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    rows = sig.reshape(BANDS, ROWS)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+def band_keys(sigs: np.ndarray) -> np.ndarray:
+    """The keys of the bands of each signature, one row each."""
+    rows = sigs.reshape(-1, BANDS, ROWS)
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(rows), 1))
     for i in range(ROWS):
-        keys = mix(keys * _STEP + rows[:, i])
+        keys = mix(keys * _STEP + rows[:, :, i])
     return keys.view(np.int64)
 
 
+def sketched(own: list[np.ndarray]) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Nodes, band keys and units of texts, given the hashes of their words."""
+    nodes = [int.from_bytes(blake2b(w.tobytes(), digest_size=8).digest(), "little", signed=True) for w in own]
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    elements, weights, owner = shingles_of(np.concatenate(own), sizes)
+    keys = band_keys(signatures(elements, weights, owner, len(own)))[sizes > 0]
+    bounds = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
+    nth = np.arange(weights.sum()) - np.repeat(np.cumsum(weights) - weights, weights)
+    cells = mix(np.repeat(elements, weights) + nth.astype(np.uint64) * _STEP)
+    units, owner = (cells >> np.uint64(32)).astype("<u4"), np.repeat(owner, weights)
+    sort_within(units, np.cumsum(np.bincount(owner, minlength=len(own))))
+    new = starts_of_runs(units, owner)
+    units, owner = units[new], owner[new]
+    stops = np.cumsum(np.bincount(owner, minlength=len(own))) * units.itemsize
+    ends = np.concatenate([[0], stops]).astype(np.int32)
+    return (
+        pa.array(nodes, pa.int64()),
+        pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys.ravel())),
+        pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(ends), pa.py_buffer(units)]),
+    )
+
+
 def sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Written to the shared folder: id, hash of the text, node (a hash of the words), keys of the bands, and the
     units of all shingles as sorted 32-bit hashes."""
@@ -160,26 +225,12 @@ def sketches(df: DataFrame, doc_id: str, text: str) -> DataFrame:
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
             for start, stop in slices(map(len, texts)):
-                nodes, keys, units = [], [], []
-                for t in texts[start:stop]:
-                    own = words.hashes(t)
-                    node = blake2b(own.tobytes(), digest_size=8).digest()
-                    nodes.append(int.from_bytes(node, "little", signed=True))
-                    elements, weights = shingle_units(own)
-                    nth = np.arange(weights.sum()) - np.repeat(np.cumsum(weights) - weights, weights)
-                    cells = mix(np.repeat(elements, weights) + nth.astype(np.uint64) * _STEP)
-                    units.append(np.unique((cells >> np.uint64(32)).astype("<u4")).tobytes())
-                    keys.append(band_keys(signature(elements, weights)) if len(own) else np.empty(0, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, stop - start),
-                        batch.column(1).slice(start, stop - start),
-                        pa.array(nodes, pa.int64()),
-                        pa.array(keys, pa.list_(pa.int64())),
-                        pa.array(units, pa.binary()),
-                    ],
-                    names,
-                )
+                # A short text throws about a thousand darts, a long one about one per eight words.
+                costs = [_SHORT + len(t) for t in texts[start:stop]]
+                for low, high in slices(costs, _TOGETHER):
+                    own = [words.hashes(t) for t in texts[start + low : start + high]]
+                    ids = [batch.column(c).slice(start + low, high - low) for c in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*ids, *sketched(own)], names)
 
     schema = T.StructType([
         T.StructField("id", df.schema[doc_id].dataType),
