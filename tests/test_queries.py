@@ -36,5 +36,4 @@ def test_every_survey_id_is_covered():
     groups = {"S": 10, "C": 27, "F": 8, "J": 7, "A": 15, "W": 3, "U": 2, "K": 8, "Q": 5, "P": 3,
               "T": 3, "D": 4}
     wanted = {f"{g}{n}" for g, top in groups.items() for n in range(1, top + 1)}
-    # Tested below the query level: K2 save modes.
-    assert wanted - covered == {"K2"}
+    assert wanted <= covered
