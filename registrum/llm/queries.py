@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registrum.llm import (
@@ -70,16 +70,23 @@ def op10_forced_boundary_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op1_common_prefix_preference(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs from conversations: a conversation up to its last assistant turn is chosen; with
-    that turn taken from its neighbour (2n and 2n + 1 swap theirs) it is rejected."""
-    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
-    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("last"))
-    ended = turns.join(write_and_reread(last, "last-turns"), "conv_id")
-    chosen = ended.where("turn <= last").drop("last")
-    final = ended.where("turn = last and role = 'assistant'")
-    swapped = final.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), "role", "text")
-    swapped = swapped.join(last, "conv_id").select("conv_id", F.col("last").alias("turn"), "role", "text")
-    rejected = ended.where("turn < last").drop("last").unionByName(swapped)
+    """Pairs from conversations, each with all its turns as chosen. Rejected is the same with one
+    answer, the assistant turn at place conv_id modulo the number of answers, replaced by the last
+    answer of its neighbour (2n and 2n + 1 swap theirs), so pairs part at any turn. A conversation
+    without an answer is rejected without its last turn; one whose neighbour has none lacks that answer."""
+    turns = table(spark, folder, "conversations", "conv_id", "turn", "role", "text").dropDuplicates()
+    chosen = turns.where("conv_id is not null").fillna({"turn": preference.LAST})
+    answers = chosen.where("role = 'assistant'").groupBy("conv_id", "turn").agg(F.max("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    counts = answers.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max_by("text", "turn").alias("final"))
+    counts = write_and_reread(counts, "answers")
+    own = answers.withColumn("at", place).join(counts, "conv_id").where(F.col("at") == F.pmod("conv_id", "n"))
+    swapped = own.select("conv_id", "turn")
+    last = chosen.groupBy("conv_id").agg(F.max("turn").alias("turn")).join(counts, "conv_id", "left_anti")
+    replaced = write_and_reread(swapped.unionByName(last), "replaced-turns")
+    offered = counts.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("final").alias("text"))
+    new = swapped.join(offered, "conv_id").select("conv_id", "turn", F.lit("assistant").alias("role"), "text")
+    rejected = chosen.join(replaced, ["conv_id", "turn"], "left_anti").unionByName(new)
     found = preference.segments(chosen, rejected)
     name = F.concat_ws(":", "part", F.col("turn").cast("string"), F.col("trained").cast("string"), "rendered")
     digest = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long")
@@ -99,12 +106,15 @@ def op1_common_prefix_preference(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP1_SQL = """
-WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-l AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY 1),
-f AS (SELECT t.conv_id, t.text FROM t JOIN l USING (conv_id) WHERE turn = last AND role = 'assistant'),
-c AS (SELECT t.* FROM t JOIN l USING (conv_id) WHERE turn <= last),
-r AS (SELECT t.* FROM t JOIN l USING (conv_id) WHERE turn < last UNION
-      SELECT l.conv_id, l.last, 'assistant', f.text FROM l JOIN f ON f.conv_id = xor(l.conv_id, 1)),
+WITH c AS (SELECT DISTINCT conv_id, coalesce(turn, 9223372036854775807) AS turn, coalesce(role, '') AS role,
+      coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT conv_id, turn, max(text) AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place,
+      count(*) OVER (PARTITION BY conv_id) AS n FROM c WHERE role = 'assistant' GROUP BY 1, 2),
+x AS (SELECT conv_id, turn FROM a WHERE place = conv_id % n),
+f AS (SELECT conv_id, arg_max(text, turn) AS text FROM a GROUP BY 1),
+w AS (SELECT * FROM x UNION ALL SELECT conv_id, max(turn) FROM c WHERE conv_id NOT IN (SELECT conv_id FROM x) GROUP BY 1),
+r AS (SELECT * FROM c WHERE (conv_id, turn) NOT IN (SELECT (conv_id, turn) FROM w) UNION
+      SELECT x.conv_id, x.turn, 'assistant', f.text FROM x JOIN f ON f.conv_id = xor(x.conv_id, 1)),
 d AS (SELECT conv_id, min(turn) AS e FROM ((SELECT * FROM c EXCEPT SELECT * FROM r) UNION
       (SELECT * FROM r EXCEPT SELECT * FROM c)) GROUP BY 1),
 s AS (SELECT c.*, 'prompt' AS part FROM c LEFT JOIN d USING (conv_id) WHERE e IS NULL OR turn < e UNION ALL
