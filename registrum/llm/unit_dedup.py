@@ -10,6 +10,9 @@ make nor break a run and go with it when they lie within it. Where they follow o
 menus, verse), every stretch of them that just reaches ``min_words`` words is hashed as a whole, from
 each of them on, and is removed where an earlier document has it.
 
+Both limits are parameters: with ``min_words=1, unit_words=1`` every repeated line or sentence but the
+earliest goes, however short, and nothing is left where it is.
+
 Only digests are grouped, and the smallest id is a partial aggregate, so a line that a third
 of all documents share is one row per task before the shuffle. Going back from a digest to its
 occurrences is a sort-merge join of two exchanges, which adaptive execution splits when a

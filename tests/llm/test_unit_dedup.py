@@ -116,3 +116,25 @@ def test_user_columns_of_any_name_stay(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, _of string, _id int")
     found = unit_dedup.remove_repeats(df).collect()
     assert sorted((r.doc_id, r["_of"], r["_id"]) for r in found) == [(k, o, i) for k, _, o, i in rows]
+
+
+def test_without_limits_every_repeated_line_goes(spark):
+    """Plain method, told independently of the operator's units: lines without ends of sentences."""
+    rng = random.Random(11)
+    lines = [" ".join(rng.choices(["one", "Two,", "three", "vier", "cinq"], k=rng.randint(1, 6))) for _ in range(30)]
+    lines.append("a line of eleven words that six documents of this table share")
+    rows = [(i, "\n".join(rng.choices(lines, k=rng.randint(0, 12)) + [lines[-1]] * (i % 3 == 0))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in unit_dedup.remove_repeats(df, min_words=1, unit_words=1).collect()}
+    seen = set()
+    for i, text in rows:
+        kept = []
+        for line in text.split("\n"):
+            key = line.lower().replace(",", "").strip()
+            if key and key not in seen:
+                kept.append(line)
+                seen.add(key)
+        assert [x for x in found[i].text.split("\n") if x] == kept
+        # Original offsets are retained.
+        assert cut(text, [tuple(s) for s in found[i].removed]) == found[i].text
+    assert sum("eleven words" in r.text for r in found.values()) == 1
