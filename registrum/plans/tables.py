@@ -231,14 +231,19 @@ def read_archived(
     entries = write_and_reread(archives.archive_entries(archives.list_files(spark, folder)), "archive-entries")
     named = entries.withColumn("category", archives.category(F.col("path")))
     good = named.where("reason is null")
-    present = {r.category for r in good.select("category").distinct().collect()}
+    sums = good.groupBy("category").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("size"))
+    present = {r.category: r for r in sums.collect()}
+    cores = spark.sparkContext.defaultParallelism
     found = {}
     for name, spec in TABLES.items():
         own = [c for c in present if (categories or {}).get(c, c) == name]
         if not own:
             log.warning("no archives for table %s", name)
             continue
-        lines = archives.member_lines(good.where(F.col("category").isin(own)), opts.encoding)
+        tasks = archives.reading_tasks(
+            sum(present[c].members for c in own), sum(present[c].size for c in own), cores
+        )
+        lines = archives.member_lines(good.where(F.col("category").isin(own)), opts.encoding, tasks)
         # A member is read by one task from its start, so it is one split.
         split = lines.select(F.col(FILE).alias("file"), F.lit(0).cast("long").alias("block"), F.col(LINE).alias("value"))
         found[name] = rows_of(records_of(split), spec, opts)

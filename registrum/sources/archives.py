@@ -23,6 +23,7 @@ from registrum.sources.delimited import FILE, LINE
 
 UNKNOWN_CATEGORY = "desconhecido"
 BATCH_LINES = 10_000
+TASK_BYTES = 64 << 20
 READ_BYTES = 1 << 20
 
 
@@ -153,9 +154,11 @@ def archive_rejects(paths: DataFrame) -> DataFrame:
     return archive_entries(paths).where("reason is not null").select("path", "member", "reason")
 
 
-def member_lines(members: DataFrame, encoding: str = "latin-1") -> DataFrame:
+def member_lines(members: DataFrame, encoding: str = "latin-1", tasks: int | None = None) -> DataFrame:
     """``path, member, line_no, line`` of every member, streamed in small batches. A member is read
-    by its number where ``entry`` names it; ``_file`` then tells members of one name apart."""
+    by its number where ``entry`` names it; ``_file`` then tells members of one name apart. The list of
+    members is small however much they hold, so adaptive execution may read them all in one task;
+    ``tasks`` deals them out to that many."""
     if "entry" not in members.columns:
         members = members.withColumn("entry", F.lit(None).cast("long"))
 
@@ -165,10 +168,16 @@ def member_lines(members: DataFrame, encoding: str = "latin-1") -> DataFrame:
                 yield from _streamed(path, member, None if pd.isna(entry) else int(entry), encoding)
 
     schema = f"path string, member string, line_no long, {LINE} string, {FILE} string"
-    spread = members.select("path", "member", "entry").repartition("path", "member", "entry")
+    listed = members.select("path", "member", "entry")
+    spread = listed.repartition(tasks) if tasks else listed.repartition("path", "member", "entry")
     return spread.mapInPandas(lines, schema)
 
 
+def reading_tasks(members: int, size: int, cores: int) -> int:
+    """Tasks for so many members with so many bytes: one per core or more, none without a member."""
+    return max(1, min(members, max(cores, -(-size // TASK_BYTES))))
+
+
 def _frame(path: str, member: str, label: str, first: int, lines: list[str]) -> pd.DataFrame:
     numbers = range(first, first + len(lines))
     return pd.DataFrame({"path": path, "member": member, "line_no": numbers, LINE: lines, FILE: f"{path}!{label}"})

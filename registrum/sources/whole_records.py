@@ -183,7 +183,9 @@ def records_of(lines: DataFrame, sep: str = ";", max_lines: int = MAX_LINES) ->
         *(F.max_by(c, "line").alias(c) for c in ("open0", "open1")),
         *(F.max(F.when(F.col(f"begins{s}"), F.col("line"))).alias(f"last{s}") for s in (0, 1)),
     )
-    joined = both.join(_placed_splits(splits), ["file", "block"])
+    # The splits are few, a row each, as the driver's list of the files has them. The lines never go
+    # there: of lines that come out of Python Spark knows no size, and it may take them for few.
+    joined = both.join(F.broadcast(_placed_splits(splits)), ["file", "block"])
 
     def held(name: str) -> Column:
         return F.when(F.col("inside"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
