@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -61,13 +61,16 @@ def ingest(
     domains: Mapping[str, DataFrame] | None = None,
     opts: Options = Options(),
     maps: Maps = Maps(),
+    chunk: Column | None = None,
 ) -> StreamingQuery:
-    """Runs all available batches; a gated batch is recorded and withheld, and the stream
-    goes on. ``domains`` are static tables."""
+    """Runs all available batches; a gated chunk is recorded and withheld, and the stream
+    goes on. A batch is one chunk, unless ``chunk`` tells its chunks apart: with the file as the
+    chunk, what is withheld does not depend on how many files a batch takes. ``domains`` are static
+    tables."""
     opts = replace(opts, strict_membership=False)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(CHUNK, F.lit(batch_id).cast("long"))
+        rows = batch.withColumn(CHUNK, F.lit(batch_id).cast("long") if chunk is None else chunk)
         result = build_table(rows, spec, domains, opts, maps)
         for name, df in (
             ("clean", result.clean),
@@ -90,7 +93,7 @@ def ingested(spark: SparkSession, out: str, kind: str = "clean") -> DataFrame:
 
 
 def running_totals(spark: SparkSession, out: str, opts: Options = Options()) -> DataFrame:
-    """Totals over the batches so far, from one telemetry row per batch."""
+    """Totals over the batches so far, from one telemetry row per chunk."""
     return totals(ingested(spark, out, "telemetry"), opts)
 
 

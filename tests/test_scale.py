@@ -58,3 +58,16 @@ def test_members_are_dealt_out_to_tasks(spark, tmp_path):
     assert archives.reading_tasks(5, 100, 12) == 5
     assert archives.reading_tasks(5000, 100, 12) == 12
     assert archives.reading_tasks(5000, 100 * archives.TASK_BYTES, 12) == 100
+
+
+def test_gate_judges_files_of_a_batch_one_by_one(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(4):
+        (tmp_path / "in" / f"{n}.csv").write_text(lines(30 * n, bad=n == 1))
+    stream = stream_table(spark, REGIMES, str(tmp_path / "in"), UTF8, files_per_batch=2)
+    out = str(tmp_path / "out")
+    ingest(stream, REGIMES, out, str(tmp_path / "cp"), opts=UTF8, chunk=F.col(FILE)).awaitTermination()
+    loaded = ingested(spark, out)
+    assert loaded.count() == 90 and loaded.select("batch_id").distinct().count() == 2
+    totals = running_totals(spark, out).head()
+    assert (totals.rows_total, totals.chunks_processed, totals.quality_gate_chunks) == (90, 3, 1)
