@@ -15,6 +15,7 @@ from registrum.options import Options
 from registrum.plans.tables import build_all, build_table, read_archived
 from registrum.session import write_and_reread
 from registrum.sinks.tables import write_exchange
+from registrum.sources.archives import list_files
 from registrum.sources.whole_records import read_rows
 from registrum.specs import COMPANIES, ESTABLISHMENTS, REGIMES, TABLES
 
@@ -22,16 +23,27 @@ SPLIT_BYTES = 64 << 10
 BLOCK = 4000
 
 
+SPLITS = 256
+DEALT_BYTES = 64 << 20
+
+
 @contextmanager
-def small_splits(spark: SparkSession) -> Iterator[None]:
-    """Cuts files into more splits than a production run would."""
-    key = "spark.sql.files.maxPartitionBytes"
-    given = spark.conf.get(key)
-    spark.conf.set(key, SPLIT_BYTES)
+def small_splits(spark: SparkSession, size: int = SPLIT_BYTES) -> Iterator[None]:
+    """Cuts files into more splits than a production run would; a split of small files holds several."""
+    wanted = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": min(size, 4096)}
+    given = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, given)
+        for key, value in given.items():
+            spark.conf.set(key, value)
+
+
+def split_size(total: int) -> int:
+    """Splits grow with the files, so that their number does not."""
+    return max(SPLIT_BYTES, -(-total // SPLITS))
 
 
 BROKEN = "concat('Linha \"um\";', chr(10), razao_social, chr(10), '\"', chr(10), 'fim')"
@@ -65,7 +77,7 @@ def quoted_line_breaks(t: Tables) -> DataFrame:
           FROM rep_basic) GROUP BY 1, 2""",
 )
 def chunks_by_place(t: Tables) -> DataFrame:
-    """Telemetry of chunks of 300 rows; the rows were dealt out to 40 partitions after reading."""
+    """Telemetry of chunks of 300 rows; the rows were dealt out to 40 partitions or more after reading."""
     path = folder(t, "placed")
     rows = t.raw_estab.withColumn("block", F.floor(F.col("k") / BLOCK))
     for c in ESTABLISHMENTS.source_columns:
@@ -76,8 +88,9 @@ def chunks_by_place(t: Tables) -> DataFrame:
                    nullValue="", emptyValue="")
     ordered.select("block", *ESTABLISHMENTS.source_columns).write.partitionBy("block").options(**options).csv(path)
     opts = Options(strict_membership=False, encoding="UTF-8", chunk_size=300)
-    with small_splits(t.spark):
-        raw = read_rows(t.spark, ESTABLISHMENTS, path, opts).repartition(40)
+    total = list_files(t.spark, path, "*.csv").agg(F.coalesce(F.sum("length"), F.lit(0))).head()[0]
+    with small_splits(t.spark, split_size(total)):
+        raw = read_rows(t.spark, ESTABLISHMENTS, path, opts).repartition(max(40, total // DEALT_BYTES))
         records = build_table(raw, ESTABLISHMENTS, t.domains, opts).telemetry
     return records.select(
         F.regexp_extract("chunk", r"block=(\d+)", 1).cast("long").alias("block"),

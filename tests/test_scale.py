@@ -71,3 +71,14 @@ def test_gate_judges_files_of_a_batch_one_by_one(spark, tmp_path):
     assert loaded.count() == 90 and loaded.select("batch_id").distinct().count() == 2
     totals = running_totals(spark, out).head()
     assert (totals.rows_total, totals.chunks_processed, totals.quality_gate_chunks) == (90, 3, 1)
+
+
+def test_splits_do_not_grow_in_number(spark, tmp_path):
+    for n in range(40):
+        (tmp_path / f"{n}.txt").write_text("line\n" * 2000)
+    assert whole_files.split_size(0) == whole_files.SPLIT_BYTES
+    assert 10**12 / whole_files.split_size(10**12) <= whole_files.SPLITS
+    with whole_files.small_splits(spark, 100_000):
+        assert partitions(spark.read.text(str(tmp_path))) <= 10
+    with whole_files.small_splits(spark, 4000):
+        assert partitions(spark.read.text(str(tmp_path))) > 40
