@@ -3,9 +3,9 @@ the SQL that gives the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +13,7 @@ from checks import inputs
 from registrum.operators.membership import without_violations
 from registrum.operators.repair import conform, repair
 from registrum.session import fresh_path
-from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS, REGIMES
+from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS, REGIMES, TableSpec
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,36 @@ SOURCES = {
     "socios": "raw_socios",
 }
 WRITTEN: dict[tuple[str, str, str], str] = {}
+ROWS_PER_FILE = 500_000
+
+
+def spread(df: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Deals the rows out to partitions of a bounded size, however many there are, and to one per
+    core at least. Apply it to the narrow given columns, before wide text is made of them."""
+    wanted = -(-df.count() // rows_per_file)
+    return df.repartition(max(wanted, df.sparkSession.sparkContext.defaultParallelism))
+
+
+class Loaded(Mapping[str, DataFrame]):
+    """Tables by name, each made when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]) -> None:
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
 
 
 class Tables:
@@ -46,23 +76,26 @@ class Tables:
 
     def _derived(self, name: str) -> DataFrame:
         source, stages = inputs.DERIVED[name]
-        df = getattr(self, source)
-        for stage in stages[:-1]:
-            df = df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage.items()])
-        df = df.selectExpr(*[f"{e} AS {n}" for n, e in stages[-1].items()])
+
+        def made(df: DataFrame) -> DataFrame:
+            for stage in stages[:-1]:
+                df = df.selectExpr("*", *[f"{e} AS {n}" for n, e in stage.items()])
+            return df.selectExpr(*[f"{e} AS {n}" for n, e in stages[-1].items()])
+
+        given = getattr(self, source)
         if name in inputs.DOMAINS:
-            return df
-        return self._written(name, df)
+            return made(given)
+        return self._written(name, lambda: made(spread(given)))
 
-    def _written(self, name: str, df: DataFrame) -> DataFrame:
+    def _written(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """Written once per session, as a source of several files that queries read column
-        by column."""
+        by column. The files are those of the frame's partitions: the wide rows are not shuffled."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in WRITTEN:
-            WRITTEN[key] = fresh_path(self.spark, f"checks/{name}")
-            files = self.spark.sparkContext.defaultParallelism
-            df.repartition(files).write.parquet(WRITTEN[key])
-        return self.spark.read.schema(df.schema).parquet(WRITTEN[key])
+            path = fresh_path(self.spark, f"checks/{name}")
+            make().write.parquet(path)
+            WRITTEN[key] = path
+        return self.spark.read.parquet(WRITTEN[key])
 
     @cached_property
     def raw_estab(self) -> DataFrame:
@@ -85,17 +118,20 @@ class Tables:
         return {name: self._derived(name) for name in inputs.DOMAINS}
 
 
+    def _typed(self, spec: TableSpec) -> DataFrame:
+        raw = getattr(self, SOURCES[spec.name])
+        typed = conform(without_violations(repair(raw, spec)), spec)
+        kept = ["k", *spec.column_names] if spec is ESTABLISHMENTS else spec.column_names
+        return typed.select(*[c for c in kept if c in typed.columns])
+
     @cached_property
-    def loaded(self) -> dict[str, DataFrame]:
-        """All tables as loaded, without the checks against their parents."""
-        tables = dict(self.domains)
+    def loaded(self) -> Mapping[str, DataFrame]:
+        """All tables as loaded, without the checks against their parents. Each is written when a
+        query asks for it."""
+        makers = {name: partial(self._derived, name) for name in inputs.DOMAINS}
         for spec in (COMPANIES, ESTABLISHMENTS, REGIMES, PARTNERS):
-            raw = getattr(self, SOURCES[spec.name])
-            typed = conform(without_violations(repair(raw, spec)), spec)
-            kept = ["k", *spec.column_names] if spec is ESTABLISHMENTS else spec.column_names
-            out = typed.select(*[c for c in kept if c in typed.columns])
-            tables[spec.table] = self._written(f"loaded_{spec.table}", out)
-        return tables
+            makers[spec.table] = partial(self._written, f"loaded_{spec.table}", partial(self._typed, spec))
+        return Loaded(makers)
 
 
 CHECKS: dict[str, Check] = {}

@@ -82,3 +82,23 @@ def test_splits_do_not_grow_in_number(spark, tmp_path):
         assert partitions(spark.read.text(str(tmp_path))) <= 10
     with whole_files.small_splits(spark, 4000):
         assert partitions(spark.read.text(str(tmp_path))) > 40
+
+
+def test_files_grow_with_the_rows(spark):
+    assert partitions(registry.spread(spark.range(1000), 50)) == 20
+    assert partitions(registry.spread(spark.range(1000), 500)) == spark.sparkContext.defaultParallelism
+
+
+def test_only_the_tables_asked_for_are_made(spark):
+    made = []
+    tables = registry.Loaded({n: lambda n=n: made.append(n) or spark.range(1) for n in ("a", "b")})
+    assert "b" in tables and list(tables) == ["a", "b"]
+    assert tables["a"] is tables["a"] and made == ["a"]
+    assert set(dict(tables)) == {"a", "b"} and made == ["a", "b"]
+
+
+def test_wide_rows_are_written_where_they_are_made(spark, capsys):
+    t = registry.Tables(spark, "/root/testdata/sf0.001")
+    before = set(registry.WRITTEN)
+    assert t.loaded["simples"].count() == t.raw_simples.count()
+    assert "loaded_socios" not in {name for _, _, name in set(registry.WRITTEN) - before}
