@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registrum.functions.text import STATES
-from registrum.operators.joins import BROADCAST_ROWS, lookup_join
+from registrum.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup_join
 from registrum.session import write_and_reread
 from registrum.specs import TableSpec
 
@@ -122,7 +122,11 @@ def relax_members(
 
     Codes are compared in the type of the domain key, so text '013' is code 13.
     ``_given`` keeps the codes as they came, for the quarantine records.
+
+    A domain that is too large for a broadcast is joined to the distinct codes in use; only the few
+    that it lacks are then looked up for the rows, so the table itself is not shuffled.
     """
+    given = df
     order = df.columns
     known = {}
     for rule in rules:
@@ -134,22 +138,22 @@ def relax_members(
             continue
         mark, key = f"_known_{column}", f"_key_{column}"
         keys = domain_keys(rule.domain, rule.key).withColumnRenamed(rule.key, key)
-        kind = keys.schema[key].dataType
-        df = lookup_join(
-            df.withColumn(key, F.col(column).try_cast(kind)),
-            keys.withColumn(mark, F.lit(True)),
-            [key],
-            "left",
-            broadcast_rows,
-        )
-        known[column] = F.col(mark).isNotNull()
+        code = F.col(column).try_cast(keys.schema[key].dataType)
+        df = df.withColumn(key, code)
+        if fits_broadcast(keys, broadcast_rows):
+            df = df.join(F.broadcast(keys.withColumn(mark, F.lit(True))), key, "left")
+            known[column] = F.col(mark).isNotNull()
+            continue
+        used = given.select(code.alias(key)).dropna().distinct()
+        foreign = write_and_reread(used.join(keys, key, "left_anti"), "foreign-codes")
+        df = lookup_join(df, foreign.withColumn(mark, F.lit(True)), [key], "left", broadcast_rows)
+        known[column] = F.col(key).isNotNull() & F.col(mark).isNull()
     bad = {c: F.col(c).isNotNull() & ~k for c, k in known.items()}
     listed = F.array(*[F.when(b, F.lit(c)) for c, b in bad.items()])
     kept = [F.when(~bad[c], F.col(c)).alias(c) if c in bad else F.col(c) for c in order]
     if not bad:
         return without_violations(df)
-    given = F.struct(*bad)
-    return df.select(*kept, given.alias(GIVEN), F.array_compact(listed).alias(VIOLATED))
+    return df.select(*kept, F.struct(*bad).alias(GIVEN), F.array_compact(listed).alias(VIOLATED))
 
 
 def without_violations(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from registrum.functions.codes import array_literal
 from registrum.operators.chunks import CHUNK
+from registrum.operators.joins import lookup_join
 from registrum.operators.membership import GIVEN, VIOLATED
 from registrum.operators.repair import BEFORE, INVALID_ID, OVERFLOW, data_columns, quoted
 from registrum.options import Options
@@ -136,11 +137,11 @@ def with_gate(records: DataFrame, opts: Options) -> DataFrame:
 def accepted_rows(df: DataFrame, gated: DataFrame, chunk: str = CHUNK) -> DataFrame:
     """Drops the rows of gated chunks.
 
-    Pass telemetry that has been written: its known size lets Spark broadcast the few gated
-    chunk numbers instead of shuffling the table.
+    Pass telemetry that has been written: the few gated chunk numbers are counted, then broadcast
+    instead of shuffling the table, however many chunks there are.
     """
     dropped = gated.where("gated").select(F.col("chunk").alias(chunk))
-    return df.join(dropped, chunk, "left_anti")
+    return lookup_join(df, dropped, [chunk], "left_anti")
 
 
 def gate_records(gated: DataFrame) -> DataFrame:

@@ -116,7 +116,8 @@ def build_table(
     records = write_and_reread(
         with_gate(telemetry(repaired, spec, opts.level), opts), f"{spec.name}-telemetry"
     )
-    accepted = accepted_rows(repaired, records)
+    # Without gates no chunk is gated, so nothing is looked up.
+    accepted = accepted_rows(repaired, records) if opts.gates else repaired
 
     parents = {name: domains.get(name) for name in spec.parents()}
     empty = require_loaded(parents, opts.strict_membership)

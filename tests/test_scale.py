@@ -102,3 +102,33 @@ def test_wide_rows_are_written_where_they_are_made(spark, capsys):
     before = set(registry.WRITTEN)
     assert t.loaded["simples"].count() == t.raw_simples.count()
     assert "loaded_socios" not in {name for _, _, name in set(registry.WRITTEN) - before}
+
+
+@pytest.mark.parametrize("limit", [0, 2, 100])
+def test_large_domains_leave_the_table_in_its_place(spark, capsys, request, limit):
+    codes = [(1, "1"), (2, "013"), (3, "99"), (4, "x"), (5, None), (6, "13"), (7, "99"), (8, "1")]
+    df = write_and_reread(spark.createDataFrame(codes, "k long, code string"))
+    domain = write_and_reread(spark.range(20).select(F.col("id").cast("int").alias("codigo")))
+    set_conf(spark, request, "spark.sql.autoBroadcastJoinThreshold", -1)  # as for a wide table
+    checked = relax_members(df, [Rule("code", domain)], broadcast_rows=limit)
+    found = {r.k: (r.code, r._violated) for r in checked.collect()}
+    assert found == {
+        1: ("1", []), 2: ("013", []), 3: (None, ["code"]), 4: (None, ["code"]),
+        5: (None, []), 6: ("13", []), 7: (None, ["code"]), 8: ("1", []),
+    }
+    if limit == 2:  # the domain does not fit, the codes that it lacks do
+        assert "SortMergeJoin" not in plan(checked, capsys)
+
+
+def test_without_gates_nothing_is_looked_up(spark, capsys):
+    raw = spark.createDataFrame([(f"{i:08d}", "S") for i in range(40)], "cnpj_basico string, opcao_pelo_simples string")
+    opts = Options(strict_membership=False, gates=False)
+    assert "Join" not in plan(build_table(raw, REGIMES, opts=opts, chunk=F.lit(1)).clean, capsys)
+
+
+def test_gated_chunks_are_broadcast_however_many_records(spark, capsys, request):
+    rows = write_and_reread(spark.range(100).withColumn("_chunk", F.col("id") % 10))
+    records = write_and_reread(spark.range(10).select(F.col("id").alias("chunk"), (F.col("id") == 3).alias("gated")))
+    set_conf(spark, request, "spark.sql.autoBroadcastJoinThreshold", -1)  # as if they were beyond it
+    kept = accepted_rows(rows, records)
+    assert "BroadcastHashJoin" in plan(kept, capsys) and kept.count() == 90
