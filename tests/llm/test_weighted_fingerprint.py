@@ -83,3 +83,14 @@ def test_rare_words_of_long_texts_win_their_share(spark):
     found = {r.doc: r.fingerprint for r in wf.fingerprints(df, ["doc"]).collect()}
     same = [np.mean(np.equal(found[f"{pair}a"], found[f"{pair}b"])) for pair in range(6)]
     assert abs(np.mean(same) - 0.5) < 0.1
+
+
+def test_few_samples_are_drawn_in_one_row(spark):
+    df = spark.createDataFrame([(1, "a b b"), (2, None)], "doc int, text string")
+    found = wf.fingerprints(df, ["doc"])
+    assert wf.SAMPLES % wf.TOGETHER == 0
+    assert found._jdf.queryExecution().executedPlan().toString().count("partial_min(") <= wf.TOGETHER
+    rows = {r.doc: r.fingerprint for r in found.collect()}
+    # As drawn when all samples still shared a row.
+    assert len(rows[1]) == wf.SAMPLES and rows[1][:2] + rows[1][-1:] == [222796768, 294466673, 2640705583]
+    assert rows[2] == [0] * wf.SAMPLES
