@@ -144,6 +144,11 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
+def by_bucket(own: np.ndarray, buckets: int) -> np.ndarray:
+    """The order of the buckets; numbers of 16 bits are sorted in one pass, not by comparison."""
+    return np.argsort(own.astype(np.min_scalar_type(buckets)), kind="stable")
+
+
 def sliced(df: DataFrame, learns, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """slice, ids, learns, sizes and text, written: one row per about ``SLICE_BYTES``. Ids are
     long integers or text."""
@@ -265,7 +270,7 @@ def fit(slices: DataFrame, buckets: int) -> Model:
                 keys, counts = merged([keys, some], [counts, many])
         yield from counted()
         own = bucket_of(keys, buckets)
-        order = np.argsort(own, kind="stable")
+        order = by_bucket(own, buckets)
         bounds = np.searchsorted(own[order], np.arange(buckets + 1))
         for b in range(buckets):
             mine = order[bounds[b] : bounds[b + 1]]
@@ -424,7 +429,7 @@ def lookups(slices: DataFrame, model: Model, repeats: int) -> DataFrame:
         for row in _rows(batches):
             keys = distinct(Slice.of(row["bodies"]))
             own = bucket_of(keys, buckets)
-            order = np.argsort(own, kind="stable")
+            order = by_bucket(own, buckets)
             bounds = np.searchsorted(own[order], np.arange(buckets + 1))
             words = _dealt(sorted(set(words_of(row["bodies"]))), buckets)
             yield pa.RecordBatch.from_arrays(
@@ -476,6 +481,20 @@ def distinct(cut: Slice) -> np.ndarray:
     return keys
 
 
+def ranked(cut: Slice) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The distinct grams and, for each chunk, which bytes are no padding and their grams' places.
+
+    A chunk is sorted once, with its places, instead of looking each of its grams up."""
+    found = []
+    for some, real in cut.chunks():
+        own, inverse = np.unique(some[real], return_inverse=True)
+        found.append((real, own, inverse))
+    if len(found) == 1:
+        return found[0][1], [(found[0][0], found[0][2])]
+    keys = distinct_sorted(np.concatenate([np.empty(0, np.uint64), *(own for _, own, _ in found)]))
+    return keys, [(real, np.searchsorted(keys, own)[inverse]) for real, own, inverse in found]
+
+
 def score(slices: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every document."""
     lengths = lookups(slices, model, max(1, math.ceil(slices.count() / ASKING)))
@@ -489,14 +508,15 @@ def score(slices: DataFrame, model: Model) -> DataFrame:
         for row in _rows(batches):
             bodies = row["bodies"]
             cut = Slice.of(bodies)
-            keys = distinct(cut)
+            keys, parts_of = ranked(cut)
             logs = np.empty(len(keys), np.float32)
             found = [unpacked(p["lengths"], np.float32) for p in row["answers"]]
-            logs[np.argsort(bucket_of(keys, buckets), kind="stable")] = np.concatenate(found)
+            logs[by_bucket(bucket_of(keys, buckets), buckets)] = np.concatenate(found)
             parts = [np.zeros(ORDER)]
-            for some, real in cut.chunks():
-                places = np.minimum(np.searchsorted(keys, some), len(keys) - 1)
-                parts.append(np.where(real, logs[places].astype(np.float64), 0.0))
+            for real, places in parts_of:
+                part = np.zeros(len(real))
+                part[real] = logs[places]
+                parts.append(part)
             every = np.concatenate(parts)
             words = words_of(bodies)
             base: dict[bytes, float] = {}

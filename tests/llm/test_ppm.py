@@ -121,3 +121,18 @@ def test_query(spark):
     found = op12_partial_matching(spark, folder).collect()
     assert {r.doc_id: r.held_out for r in found} == {d.doc_id: held_out(d.doc_id) for d in docs}
     check([(d.doc_id, d.text) for d in docs], found)
+
+
+def test_ranked_places_are_those_of_a_search(monkeypatch):
+    from registrum.llm import ppm
+
+    cut = ppm.Slice.of([b"ab ab abc \n", b"\n", b"abc \n", b"b ab ab \n"])
+    for size in (ppm.CHUNK, 7):
+        monkeypatch.setattr(ppm, "CHUNK", size)
+        keys, found = ppm.ranked(cut)
+        assert keys.tolist() == ppm.distinct(cut).tolist()
+        for (some, real), (mask, places) in zip(cut.chunks(), found, strict=True):
+            assert mask.tolist() == real.tolist()
+            assert keys[places].tolist() == some[real].tolist()
+    own = ppm.bucket_of(keys, 300)
+    assert ppm.by_bucket(own, 300).tolist() == sorted(range(len(own)), key=lambda i: own[i])
