@@ -18,6 +18,7 @@ import functools
 import os
 import struct
 from collections.abc import Callable, Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,7 @@ def _memo(path: str) -> Memo:
 
 
 class Memo:
-    """Remembers the ids of the chunks between blanks and, in two generations, those of their parts.
+    """Remembers, in two generations each, the ids of the chunks between blanks and those of their parts.
 
     A chunk of Latin-1 letters with marks after it has two parts, which the tokenizer takes apart as
     well, the letters without regard to case; any other chunk is one part.
@@ -82,19 +83,21 @@ class Memo:
     def __init__(self, encode: Callable[[list[str]], list[bytes]], encode_words: Callable[[list[str]], list[bytes]]) -> None:
         self._encode, self._encode_words = encode, encode_words
         self._chunks: dict[str, bytes] = {"": b""}
+        self._older_chunks: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        known = self._chunks
-        if len(known) > CHUNK_ENTRIES:
-            known.clear()
-            known[""] = b""
+        if len(self._chunks) > CHUNK_ENTRIES:
+            # What is met again moves on, the rest goes with the next turn.
+            self._chunks, self._older_chunks = {"": b""}, self._chunks
+        known, older = self._chunks, self._older_chunks
         rows = [t.replace("\n", " ").split(" ") for t in texts]
         missing: set[str] = set()
         for row in rows:
-            missing.update([c for c in row if c not in known])
-        self._learn(list(missing))
+            missing.update(filterfalse(known.__contains__, row))
+        known.update([(c, older[c]) for c in missing if c in older])
+        self._learn([c for c in missing if c not in known])
         out = [b"".join(map(known.__getitem__, row)) for row in rows]
         for chunk in missing:
             if len(chunk) > CHARS:
@@ -103,33 +106,34 @@ class Memo:
 
     def _learn(self, chunks: list[str]) -> None:
         if len(self._parts) > PART_ENTRIES:
-            # What is met again moves on, the rest goes with the next turn.
             self._parts, self._older = {}, self._parts
         parts, older = self._parts, self._older
         words, marks = [], []
+        plain_words, other = set(), set()
         for chunk in chunks:
             word = chunk.rstrip(MARKS)
             if word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
-                words.append(word.lower())
-                marks.append(chunk[len(word) :])
+                mark, word = chunk[len(word) :], word.lower()
+                plain_words.add(word)
+                marks.append(mark)
+                words.append(word)
             else:
+                other.add(chunk)
                 words.append(chunk)
                 marks.append("")
-        missing = [p for p in {*words, *marks} if p not in parts]
-        plain, others = [], []
-        for p in missing:
-            ids = older.get(p)
-            if ids is not None:
-                parts[p] = ids
-            elif p.isalpha() and (p.isascii() or max(p) <= "ÿ") and p.islower():
-                plain.append(p)
-            else:
-                others.append(p)
+        other.update(marks)
+
+        def unknown(some: set[str]) -> list[str]:
+            missing = [p for p in some if p not in parts]
+            parts.update([(p, older[p]) for p in missing if p in older])
+            return [p for p in missing if p not in parts]
+
+        plain, others = unknown(plain_words), unknown(other)
         parts.update(zip(plain, self._encode_words(plain)))
         parts.update(zip(others, self._encode(others)))
         learnt = zip(map(parts.__getitem__, words), map(parts.__getitem__, marks))
         self._chunks.update(zip(chunks, [a + b if b else a for a, b in learnt]))
-        for p in missing:
+        for p in (*plain, *others):
             if len(p) > CHARS:
                 del parts[p]
 

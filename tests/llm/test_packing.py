@@ -85,3 +85,23 @@ def test_parts_have_the_ids_of_the_whole(library):
     memo = packing._memo(WORD)
     for word in words:
         assert np.frombuffer(memo.ids([word])[0], "<u4").tolist() == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_a_chunk_met_again_is_not_learnt_again(monkeypatch):
+    from registrum.llm import packing
+
+    monkeypatch.setattr(packing, "CHUNK_ENTRIES", 2)
+    asked = []
+
+    def encode(parts):
+        asked.extend(p for p in parts if p)
+        return [p.encode() for p in parts]
+
+    memo = packing.Memo(encode, encode)
+    learnt = []
+    learn = memo._learn
+    monkeypatch.setattr(memo, "_learn", lambda chunks: (learnt.extend(chunks), learn(chunks)))
+    for text in ("One, two.", "one, TWO! 3x", "one, 3x ..."):
+        assert memo.ids([text]) == [text.lower().replace(" ", "").encode()]
+    assert sorted(learnt) == sorted(["One,", "two.", "one,", "TWO!", "3x", "..."])
+    assert sorted(asked) == sorted(["one", ",", "two", ".", "!", "3x", "..."])
