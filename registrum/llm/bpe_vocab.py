@@ -15,6 +15,7 @@ from registrum.llm.chunk_memo import ChunkMemo
 # Longer fragments are rare; remembering them would fill a worker's memory.
 REMEMBER_CHARS = 48
 REMEMBER_ENTRIES = 150_000
+REMEMBER_WORDS = 250_000
 
 
 def byte_symbols() -> list[str]:
@@ -61,6 +62,10 @@ class Vocabulary:
         symbols = byte_symbols()
         self._symbols = {b: symbols[b] for b in range(256)}
         self._fragments: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        # Whether simple text may hold an added token.
+        self._simple_added = any(all(map(self._simple.fullmatch, t)) for t in self.added)
         self.memo = ChunkMemo(lambda chunks: [self.chunk_ids(c) for c in chunks])
 
     # Letters whose normal form, case and class have not changed in any Unicode version.
@@ -154,18 +159,32 @@ class Vocabulary:
                     heapq.heappush(heap, (ranks[symbols[a], symbols[b]], a, (symbols[a], symbols[b])))
         return [s for s in symbols if s]
 
+    def word_ids(self, word: str) -> bytes:
+        """Ids of a word, remembered in two generations: what is met again moves on."""
+        found = self._words.get(word)
+        if found is None:
+            found = self._older.get(word)
+            if found is None:
+                *first, last = self.forced_fragments(word)
+                ids = [self.fragment_ids(fragment, False) for fragment in first]
+                found = b"".join([*ids, self.fragment_ids(last, True)])
+            if len(word) <= REMEMBER_CHARS:
+                if len(self._words) >= REMEMBER_WORDS:
+                    self._words, self._older = {}, self._words
+                self._words[word] = found
+        return found
+
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of a text without blanks or line feeds."""
+        if not self._simple_added and self._simple.fullmatch(chunk):
+            return b"".join(map(self.word_ids, self.words(chunk)))
         ids = []
         parts = self.added_split.split(chunk) if self.added_split else [chunk]
         for part in parts:
             if part in self.added:
                 ids.append(self.added[part].to_bytes(4, "little"))
             elif part:
-                for word in self.words(part):
-                    *first, last = self.forced_fragments(word)
-                    ids.extend(self.fragment_ids(fragment, False) for fragment in first)
-                    ids.append(self.fragment_ids(last, True))
+                ids.extend(map(self.word_ids, self.words(part)))
         return b"".join(ids)
 
 

@@ -77,3 +77,21 @@ def test_query_matches_the_library(spark, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_a_known_word_is_not_cut_again(monkeypatch):
+    import public_tokenizers
+
+    from registrum.llm import bpe_vocab
+
+    vocab = bpe_vocab.Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(bpe_vocab, "REMEMBER_WORDS", 2)
+    first = vocab.chunk_ids("Thandering")
+    cut = []
+    fragments = vocab.forced_fragments
+    monkeypatch.setattr(vocab, "forced_fragments", lambda word: cut.append(word) or fragments(word))
+    marks = vocab.chunk_ids(",")
+    # The word moves on to the next generation each time.
+    for chunk in ("thandering,", "THANDERING", "other", "Thandering,"):
+        assert vocab.chunk_ids(chunk) == (vocab.chunk_ids("other") if chunk == "other" else first + marks * chunk.endswith(","))
+    assert cut == [",", "other"]
