@@ -17,21 +17,32 @@ another hash. A sample is packed as a long (a first, term and t below), so the f
 hash aggregate of longs and stays in generated code; words are counted within their row and never
 shuffled.
 
+The logarithms cost most, and few draws can win: the smallest of a text of n words exceeds x with
+the probability exp(-n * x). ``with_edits`` takes logarithms only of draws whose a may lie below
+``SPARE`` / n by a bound that needs none. Where no draw of a sample lies there, which is to be
+expected once in exp(SPARE) samples, the block is drawn again in full, so the result is the same.
+
 Null text counts as empty. A text without words has the fingerprint of zeros, equal to that of
 any other such text and unlike all others.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from registrum.session import write_and_reread
+
 SAMPLES = 64
 SHAPE_BITS = 21
-# Samples drawn in one row. The code of all of them in one row runs four times as long.
-TOGETHER = 8
+# Samples of one row of the aggregate. The code of all of them in one row runs four times as long.
+TOGETHER = 16
 # ln a lies well within -2**6 .. 2**6; the rest of 31 bits is its fraction.
 _SCALE = float(1 << 24)
+# Draws up to so many times their expected minimum are worked out at first.
+SPARE = 20.0
 
 
 def _uniform(h: Column, low: int, bits: int) -> Column:
@@ -43,7 +54,8 @@ def _uniform(h: Column, low: int, bits: int) -> Column:
 
 
 def term_weights(text: Column) -> Column:
-    """The distinct terms of a text: array of structs of the term's hash and ln of its count."""
+    """The distinct terms of a text: array of structs of the term's hash, its count and ln of that,
+    and the number of words of the text."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\s\p{Punct}]+"), lambda w: w != "")
     hashes = F.sort_array(F.transform(words, lambda w: F.xxhash64(w)))
 
@@ -60,31 +72,65 @@ def term_weights(text: Column) -> Column:
                 e,
                 lambda end, j: F.struct(
                     F.get(sorted_hashes, end - 1).alias("term"),
+                    (end - F.coalesce(F.get(e, j - 1), F.lit(0))).alias("count"),
                     F.ln(end - F.coalesce(F.get(e, j - 1), F.lit(0))).alias("weight"),
+                    n.alias("words"),
                 ),
             ),
         )[0]
 
-    none = F.array().cast("array<struct<term:bigint,weight:double>>")
+    none = F.array().cast("array<struct<term:bigint,count:int,weight:double,words:int>>")
     return F.transform(F.array(hashes), lambda h: F.when(F.size(h) > 0, counted(h)).otherwise(none))[0]
 
 
-def samples(term: Column, weight: Column, part: Column) -> list[Column]:
-    """Aggregates: for each sample of a part the smallest packed draw over a document's terms."""
-    out = []
-    for j in range(TOGETHER):
-        k = part * TOGETHER + j
-        h = F.xxhash64(term, k)
-        g = F.xxhash64(term, k + SAMPLES)
-        r = -F.ln(_uniform(h, 64 - SHAPE_BITS, SHAPE_BITS) * _uniform(h, 64 - 2 * SHAPE_BITS, SHAPE_BITS))
-        b = _uniform(h, 0, 64 - 2 * SHAPE_BITS)
-        ln_c = F.ln(-F.ln(_uniform(g, 32, 32) * _uniform(g, 0, 32)))
-        t = F.floor(weight / r + b)
-        ln_a = ln_c - r * (t - b + 1)
-        first = F.floor((F.greatest(F.least(ln_a, F.lit(63.0)), F.lit(-63.0)) + 64.0) * F.lit(_SCALE))
-        name = h.bitwiseXOR(t * F.lit(2654435761)).bitwiseAND(F.lit((1 << 32) - 1))
-        out.append(F.min(F.shiftleft(first, 32).bitwiseOR(name)).alias(f"s{j}"))
-    return out
+def _first(ln_a: Column) -> Column:
+    """What comes first in a packed draw: the smaller a, the smaller."""
+    return F.floor((F.greatest(F.least(ln_a, F.lit(63.0)), F.lit(-63.0)) + 64.0) * F.lit(_SCALE))
+
+
+def draws(terms: DataFrame, keys: list[str], spare: float | None) -> DataFrame:
+    """``keys``, _k and _s: the packed draws of the terms (_t) for each sample k, or with ``spare``
+    those whose a may lie below ``spare`` by the number of words. A text without words has a row
+    for each sample, without a draw.
+
+    Every step is a projection of its own, so that what the next ones use more than once is worked
+    out once. Of a draw of weight ln w, a is at least c * u * v / w, and c = -ln x is at least
+    2 (1 - x) / (1 + x); where t is 0, u * v may be its weighted harmonic mean with 1.
+    """
+    words, count = F.col("_t.words"), F.col("_t.count")
+    highest = F.lit(float("inf")) if spare is None else F.when(words > spare, F.lit(spare) / words * count).otherwise(float("inf"))
+    kept = ["_weight", "_once", "_highest", "_k", "_h"]
+    df = terms.select(
+        *keys, F.col("_t.term").alias("_term"), F.col("_t.weight").alias("_weight"), (count == 1).alias("_once"), highest.alias("_highest")
+    ).select("*", F.explode(F.sequence(F.lit(0), F.lit(SAMPLES - 1))).alias("_k"))
+    h, g = F.col("_h"), F.col("_g")
+    df = df.select("*", F.xxhash64("_term", "_k").alias("_h"), F.xxhash64("_term", F.col("_k") + SAMPLES).alias("_g"))
+    df = df.select(
+        *keys,
+        *kept,
+        (_uniform(h, 64 - SHAPE_BITS, SHAPE_BITS) * _uniform(h, 64 - 2 * SHAPE_BITS, SHAPE_BITS)).alias("_y"),
+        (_uniform(g, 32, 32) * _uniform(g, 0, 32)).alias("_x"),
+        _uniform(h, 0, 64 - 2 * SHAPE_BITS).alias("_b"),
+    )
+    y, x, b = F.col("_y"), F.col("_x"), F.col("_b")
+    mean = F.when(F.col("_once"), 1.0 - b + b * y).otherwise(1.0)
+    may_win = 2.0 * (1.0 - x) * y < F.col("_highest") * (1.0 + x) * mean
+    # A filter would be moved below the projections and work them out again.
+    passed = F.explode(F.when(may_win | F.col("_weight").isNull(), F.array(F.lit(True))))
+    df = df.select(*keys, *kept, "_x", "_y", "_b", passed.alias("_passed"))
+    df = df.select(*keys, "_weight", "_k", "_h", "_x", "_b", (-F.ln(y)).alias("_r"))
+    df = df.select("*", F.floor(F.col("_weight") / F.col("_r") + b).alias("_whole"))
+    t = F.col("_whole")
+    first = _first(F.ln(-F.ln(x)) - F.col("_r") * (t - b + 1))
+    if spare is not None:
+        # As ``bound`` in fingerprints, which leaves one more for rounding.
+        most = F.when(F.col("_words") > spare, _first(F.ln(F.lit(spare) / F.col("_words")))).otherwise(F.lit(1 << 40))
+        df = df.select("*", first.alias("_first"))
+        lower = F.explode(F.when(F.coalesce(F.col("_first") <= most, F.lit(True)), F.array("_first")))
+        df = df.select(*keys, "_k", "_h", "_whole", lower.alias("_low"))
+        first = F.col("_low")
+    name = h.bitwiseXOR(t * F.lit(2654435761)).bitwiseAND(F.lit((1 << 32) - 1))
+    return df.select(*keys, "_k", F.shiftleft(first, 32).bitwiseOR(name).alias("_s"))
 
 
 def packed(parts: Column) -> Column:
@@ -104,14 +150,25 @@ def likeness(one: Column, other: Column) -> Column:
     return F.aggregate(same, F.lit(0), lambda n, x: n + x) / F.lit(float(SAMPLES))
 
 
-def fingerprints(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+def fingerprints(df: DataFrame, keys: list[str], text: str = "text", spare: float | None = None) -> DataFrame:
     """``keys`` and ``fingerprint``, one row per distinct combination of ``keys``. Where ``df``
-    is partitioned by some of the keys, nothing is shuffled."""
-    terms = df.select(*keys, F.explode_outer(term_weights(F.col(text))).alias("_t"))
-    parts = F.explode(F.sequence(F.lit(0), F.lit(SAMPLES // TOGETHER - 1))).alias("_part")
-    drawn = terms.select("*", parts).groupBy(*keys, "_part").agg(*samples(F.col("_t.term"), F.col("_t.weight"), F.col("_part")))
-    least = F.struct("_part", F.array(*[F.col(f"s{j}") for j in range(TOGETHER)]).alias("samples"))
-    return drawn.groupBy(*keys).agg(packed(F.collect_list(least)).alias("fingerprint"))
+    is partitioned by some of the keys, nothing is shuffled. With ``spare`` also ``unsure``: some
+    sample has no draw for sure below that many times its expected minimum."""
+    by = [*keys, "_words"]
+    terms = df.select(*keys, F.explode_outer(term_weights(F.col(text))).alias("_t")).select("*", F.col("_t.words").alias("_words"))
+    part, j_of = F.shiftright("_k", TOGETHER.bit_length() - 1).alias("_part"), F.col("_k").bitwiseAND(F.lit(TOGETHER - 1))
+    rows = draws(terms, by, spare).select(*by, part, j_of.alias("_j"), "_s")
+    drawn = rows.groupBy(*by, "_part").agg(*[F.min(F.when(F.col("_j") == j, F.col("_s"))).alias(f"_s{j}") for j in range(TOGETHER)])
+    least = F.struct("_part", F.array(*[F.col(f"_s{j}") for j in range(TOGETHER)]).alias("samples"))
+    out = [packed(F.collect_list(least)).alias("fingerprint")]
+    if spare is not None:
+        # A draw left out may be as small as this, but for rounding.
+        bound = F.shiftleft(_first(F.ln(F.lit(spare) / F.col("_words"))) - 1, 32)
+        beyond = [F.coalesce(F.col(f"_s{j}") >= bound, F.lit(True)) for j in range(TOGETHER)]
+        some = F.max((F.col("_words") > spare) & functools.reduce(Column.__or__, beyond))
+        # A part without any draw has no row.
+        out.append((F.coalesce(some, F.lit(False)) | (F.count("*") < SAMPLES // TOGETHER)).alias("unsure"))
+    return drawn.groupBy(*keys).agg(*out)
 
 
 def with_next(df: DataFrame, doc_id: str, text: str, blocks: int) -> DataFrame:
@@ -147,9 +204,9 @@ def edited(text: Column, after: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(after, F.lit(1), half))
 
 
-def with_edits(df: DataFrame, blocks: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def with_edits(df: DataFrame, blocks: int, doc_id: str = "doc_id", text: str = "text", spare: float = SPARE) -> DataFrame:
     """Each document with the fingerprints of its text and of its edited text, and their
-    likeness to each other and to the next document's.
+    likeness to each other and to the next document's, written.
 
     Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and
     near_next. Rows without an id have no next document: what depends on it is null.
@@ -163,19 +220,34 @@ def with_edits(df: DataFrame, blocks: int, doc_id: str = "doc_id", text: str = "
         F.struct(F.lit(1).alias("kind"), F.when(~F.col("copy"), changed).alias("body")),
     )
     both = both.withColumn("_k", F.explode(kinds)).select(*keys[:-1], "_k.kind", "_k.body")
+    # Only rows that are kept need it; the others have shorter keys.
+    both = both.withColumn("edited_sha256", F.when((F.col("kind") == 0) & ~F.col("copy"), F.col("edited_sha256")))
     own = Window.partitionBy("block").orderBy("place", "kind")
-    drawn = fingerprints(both, keys, "body")
-    # The rows of a block alternate: a text, its edited text, the next text.
-    drawn = drawn.withColumns({
-        "edited": F.lead("fingerprint", 1).over(own), "following": F.lead("fingerprint", 2).over(own)
-    }).where("kind = 0 and not copy")
-    placed = ~F.col("unplaced")
-    return drawn.select(
-        "doc_id",
-        "n_chars",
-        F.when(placed, F.col("edited_sha256")).alias("edited_sha256"),
-        as_text(F.col("fingerprint")).alias("fingerprint"),
-        F.when(placed, as_text(F.col("edited"))).alias("edited_fingerprint"),
-        F.when(placed, likeness(F.col("fingerprint"), F.col("edited"))).alias("near_edited"),
-        F.when(placed, likeness(F.col("fingerprint"), F.col("following"))).alias("near_next"),
-    )
+
+    def compared(drawn: DataFrame) -> DataFrame:
+        # The rows of a block alternate: a text, its edited text, the next text.
+        drawn = drawn.withColumns({
+            "edited": F.lead("fingerprint", 1).over(own), "following": F.lead("fingerprint", 2).over(own)
+        })
+        placed = ~F.col("unplaced")
+        return drawn.select(
+            "doc_id",
+            "n_chars",
+            F.when(placed, F.col("edited_sha256")).alias("edited_sha256"),
+            as_text(F.col("fingerprint")).alias("fingerprint"),
+            F.when(placed, as_text(F.col("edited"))).alias("edited_fingerprint"),
+            F.when(placed, likeness(F.col("fingerprint"), F.col("edited"))).alias("near_edited"),
+            F.when(placed, likeness(F.col("fingerprint"), F.col("following"))).alias("near_next"),
+            "block",
+            "unsure",
+            (F.expr("kind = 0 and not copy")).alias("kept"),
+        )
+
+    # Rows of edited texts and copies are kept only where they are unsure.
+    found = write_and_reread(compared(fingerprints(both, keys, "body", spare)).where("kept or unsure"), "fingerprints")
+    # At most ``blocks`` numbers.
+    again = [r.block for r in found.where("unsure").select("block").distinct().collect()]
+    if again:
+        in_full = fingerprints(both.where(F.col("block").isin(again)), keys, "body").withColumn("unsure", F.lit(False))
+        found = found.where(~F.col("block").isin(again)).unionByName(compared(in_full))
+    return found.where("kept").drop("block", "unsure", "kept")

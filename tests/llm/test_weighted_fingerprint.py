@@ -94,3 +94,26 @@ def test_few_samples_are_drawn_in_one_row(spark):
     # As drawn when all samples still shared a row.
     assert len(rows[1]) == wf.SAMPLES and rows[1][:2] + rows[1][-1:] == [222796768, 294466673, 2640705583]
     assert rows[2] == [0] * wf.SAMPLES
+
+
+def test_draws_left_out_change_nothing(spark):
+    """Few draws are worked out in full, and a text where none of them is sure to win is drawn again."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, n) % 5000) for n in (3, 19, 20, 21, 22, 60, 400, 3000)]
+    rows = [(i, t) for i, t in enumerate([*texts, None, "", "one", "one " * 500])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    keys = ["doc_id", "_words"]
+    terms = df.select("doc_id", wf.F.explode_outer(wf.term_weights(wf.F.col("text"))).alias("_t")).select("*", wf.F.col("_t.words").alias("_words"))
+    drawn = {spare: wf.draws(terms.where("doc_id = 7"), keys, spare).count() for spare in (None, wf.SPARE)}
+    assert drawn[wf.SPARE] < 0.15 * drawn[None]
+    full = {r.doc_id: r.fingerprint for r in wf.fingerprints(df, ["doc_id"]).collect()}
+    unsure = 0
+    for spare in (1.0, 5.0, wf.SPARE):
+        for r in wf.fingerprints(df, ["doc_id"], spare=spare).collect():
+            assert r.unsure or r.fingerprint == full[r.doc_id]
+            unsure += r.unsure
+    assert unsure > 0 and len(full) == len(rows)
+    plain = sorted(map(tuple, wf.with_edits(df, 3, spare=1e9).collect()))
+    assert plain == sorted(map(tuple, wf.with_edits(df, 3, spare=1.0).collect()))
+    assert plain == sorted(map(tuple, wf.with_edits(df, 3).collect()))
+    assert [r[3] for r in plain] == ["".join(f"{s:08X}" for s in full[r[0]]) for r in plain]
