@@ -35,6 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -46,6 +47,7 @@ ORDER = 5
 ROOT = 3  # bytes that root a subtrie
 SLICE_BYTES = 4 << 20
 CHUNK = 1 << 22
+BLOCK = 1 << 16  # grams sorted together with their positions
 ASKING = 512
 FAN = 16
 WORDS = 300_000  # distinct words that a task counts before it passes them on
@@ -68,8 +70,10 @@ def grams(body: np.ndarray, start: int, stop: int) -> np.ndarray:
     then the byte, as one number. ``body`` has ORDER line feeds before each document."""
     out = np.zeros(stop - start, np.uint64)
     for back in range(1, ORDER + 1):
-        out = (out << np.uint64(8)) | body[start - back : stop - back]
-    return (out << np.uint64(8)) | body[start:stop]
+        out |= body[start - back : stop - back]
+        out <<= np.uint64(8)
+    out |= body[start:stop]
+    return out
 
 
 @dataclass
@@ -431,7 +435,7 @@ def lookups(slices: DataFrame, model: Model, repeats: int) -> DataFrame:
             own = bucket_of(keys, buckets)
             order = by_bucket(own, buckets)
             bounds = np.searchsorted(own[order], np.arange(buckets + 1))
-            words = _dealt(sorted(set(words_of(row["bodies"]))), buckets)
+            words = _dealt(ranked_words(words_of(row["bodies"]))[0], buckets)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(range(buckets), pa.int64()),
@@ -484,15 +488,37 @@ def distinct(cut: Slice) -> np.ndarray:
 def ranked(cut: Slice) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """The distinct grams and, for each chunk, which bytes are no padding and their grams' places.
 
-    A chunk is sorted once, with its places, instead of looking each of its grams up."""
-    found = []
-    for some, real in cut.chunks():
-        own, inverse = np.unique(some[real], return_inverse=True)
-        found.append((real, own, inverse))
-    if len(found) == 1:
-        return found[0][1], [(found[0][0], found[0][2])]
-    keys = distinct_sorted(np.concatenate([np.empty(0, np.uint64), *(own for _, own, _ in found)]))
-    return keys, [(real, np.searchsorted(keys, own)[inverse]) for real, own, inverse in found]
+    Grams are sorted together with their position, BLOCK at a time: both fit into one number, and
+    a block into the processor's cache. The distinct grams of a block are then looked up in order."""
+    low = np.uint64(64 - 8 * (ORDER + 1))  # bits that a gram leaves
+    parts: list[tuple[np.ndarray, list]] = []
+    for found, real in cut.chunks():
+        some, blocks = found[real] << low, []
+        for start in range(0, len(some), BLOCK):
+            mine = some[start : start + BLOCK]
+            mine = np.sort(mine | np.arange(len(mine), dtype=np.uint64))
+            gram = mine >> low
+            new = np.concatenate([[True], gram[1:] != gram[:-1]])
+            inverse = np.empty(len(mine), np.intp)
+            inverse[(mine & np.uint64((1 << int(low)) - 1)).astype(np.intp)] = np.cumsum(new) - 1
+            blocks.append((gram[new], inverse))
+        parts.append((real, blocks))
+    none = np.empty(0, np.uint64)
+    keys = distinct_sorted(np.concatenate([none, *(own for _, blocks in parts for own, _ in blocks)]))
+
+    def places(blocks: list) -> np.ndarray:
+        return np.concatenate([np.empty(0, np.intp), *(np.searchsorted(keys, own)[at] for own, at in blocks)])
+
+    return keys, [(real, places(blocks)) for real, blocks in parts]
+
+
+def ranked_words(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words, ascending, and the place of each word."""
+    found = pa.array(words, pa.large_binary()).dictionary_encode()
+    order = pc.sort_indices(found.dictionary)
+    place = np.empty(len(order), np.intp)
+    place[order.to_numpy()] = np.arange(len(order))
+    return found.dictionary.take(order).to_pylist(), place[found.indices.to_numpy()]
 
 
 def score(slices: DataFrame, model: Model) -> DataFrame:
@@ -513,16 +539,16 @@ def score(slices: DataFrame, model: Model) -> DataFrame:
             found = [unpacked(p["lengths"], np.float32) for p in row["answers"]]
             logs[by_bucket(bucket_of(keys, buckets), buckets)] = np.concatenate(found)
             parts = [np.zeros(ORDER)]
-            for real, places in parts_of:
+            for real, at in parts_of:
                 part = np.zeros(len(real))
-                part[real] = logs[places]
+                part[real] = logs[at]
                 parts.append(part)
             every = np.concatenate(parts)
-            words = words_of(bodies)
+            words, at = ranked_words(words_of(bodies))
             base: dict[bytes, float] = {}
-            for mine, p in zip(_dealt(sorted(set(words)), buckets), row["answers"]):
+            for mine, p in zip(_dealt(words, buckets), row["answers"]):
                 base.update(zip(mine, np.log10((unpacked(p["counts"], np.int64) + 0.5) / room).tolist()))
-            each = np.fromiter(map(base.__getitem__, words), np.float64, len(words))
+            each = np.fromiter(map(base.__getitem__, words), np.float64, len(words))[at]
             sizes = np.array([b.count(b" ") + 1 for b in bodies])
             starts = np.cumsum(sizes) - sizes
             columns = [

@@ -136,3 +136,23 @@ def test_ranked_places_are_those_of_a_search(monkeypatch):
             assert keys[places].tolist() == some[real].tolist()
     own = ppm.bucket_of(keys, 300)
     assert ppm.by_bucket(own, 300).tolist() == sorted(range(len(own)), key=lambda i: own[i])
+
+
+def test_ranked_sorts_small_blocks(monkeypatch):
+    from registrum.llm import ppm
+
+    assert ppm.BLOCK <= 1 << 64 - 8 * (ppm.ORDER + 1)
+    cut, sizes = ppm.Slice.of([b"ab ab abc \n" * 500, b"\n", b"\xff\xfe \n"]), []
+    monkeypatch.setattr(ppm, "BLOCK", 100)
+    for name in ("sort", "argsort"):
+        whole = getattr(ppm.np, name)
+        monkeypatch.setattr(ppm.np, name, lambda values, *a, whole=whole, **b: sizes.append(len(values)) or whole(values, *a, **b))
+    keys, [(real, places)] = ppm.ranked(cut)
+    [(some, _)] = cut.chunks()
+    # The last is the distinct grams of the blocks.
+    assert max(sizes[:-1]) <= 100 and sizes[-1] < len(some) / 2
+    assert ppm.distinct(cut).tolist() == keys.tolist()
+    assert keys[places].tolist() == some[real].tolist()
+    found, at = ppm.ranked_words([b"b", b"a", b"\xff", b"b", ppm.END_WORD])
+    assert found == [b" ", b"a", b"b", b"\xff"] and at.tolist() == [2, 1, 3, 2, 0]
+    assert ppm.ranked_words([])[0] == []
