@@ -18,10 +18,10 @@ import functools
 import os
 import struct
 from collections.abc import Callable, Iterable, Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,13 +92,16 @@ class Memo:
             # What is met again moves on, the rest goes with the next turn.
             self._chunks, self._older_chunks = {"": b""}, self._chunks
         known, older = self._chunks, self._older_chunks
-        rows = [t.replace("\n", " ").split(" ") for t in texts]
-        missing: set[str] = set()
-        for row in rows:
-            missing.update(filterfalse(known.__contains__, row))
+        rows = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+        # Most chunks of the texts occur more than once; each is looked up once.
+        found = rows.flatten().dictionary_encode()
+        chunks = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        missing = [c for c in chunks if c not in known]
         known.update([(c, older[c]) for c in missing if c in older])
         self._learn([c for c in missing if c not in known])
-        out = [b"".join(map(known.__getitem__, row)) for row in rows]
+        each = pa.array(list(map(known.__getitem__, chunks)), pa.large_binary()).take(found.indices)
+        joined = pc.binary_join(pa.ListArray.from_arrays(rows.offsets, each), pa.scalar(b"", pa.large_binary()))
+        out = joined.to_numpy(zero_copy_only=False).tolist()
         for chunk in missing:
             if len(chunk) > CHARS:
                 del known[chunk]

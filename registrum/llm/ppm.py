@@ -518,7 +518,7 @@ def ranked_words(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     order = pc.sort_indices(found.dictionary)
     place = np.empty(len(order), np.intp)
     place[order.to_numpy()] = np.arange(len(order))
-    return found.dictionary.take(order).to_pylist(), place[found.indices.to_numpy()]
+    return found.dictionary.take(order).to_numpy(zero_copy_only=False).tolist(), place[found.indices.to_numpy()]
 
 
 def score(slices: DataFrame, model: Model) -> DataFrame:

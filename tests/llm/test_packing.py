@@ -105,3 +105,23 @@ def test_a_chunk_met_again_is_not_learnt_again(monkeypatch):
         assert memo.ids([text]) == [text.lower().replace(" ", "").encode()]
     assert sorted(learnt) == sorted(["One,", "two.", "one,", "TWO!", "3x", "..."])
     assert sorted(asked) == sorted(["one", ",", "two", ".", "!", "3x", "..."])
+
+
+def test_a_chunk_that_repeats_is_looked_up_once():
+    class Known(dict):
+        asked = 0
+
+        def __getitem__(self, chunk):
+            Known.asked += 1
+            return super().__getitem__(chunk)
+
+    def encode(parts):
+        return [np.array([ord(c) for c in p], "<u4").tobytes() for p in parts]
+
+    memo = packing.Memo(encode, encode)
+    memo._chunks = Known({"": b""})
+    texts = ["the end\nof  the end " * 300, "", "\n", "é the 日本", "of"]
+    found = memo.ids(texts)
+    assert [np.frombuffer(b, "<u4").tolist() for b in found] == [[ord(c) for c in t if c not in " \n"] for t in texts]
+    assert 0 < Known.asked <= 6
+    assert memo.ids([]) == []
