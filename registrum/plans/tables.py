@@ -29,7 +29,7 @@ from registrum.sinks.records import metric_lines, write_json_lines, write_metric
 from registrum.sinks.tables import clustered, write_by_state, write_table
 from registrum.sources import archives
 from registrum.sources.delimited import FILE, LINE, malformed, read_delimited
-from registrum.sources.whole_records import POSITION, REASON, REJECTED, read_rows, records_of, rows_of
+from registrum.sources.whole_records import POSITION, REASON, REJECTED, read_rows, rows_of
 from registrum.specs import TABLES, TableSpec
 
 log = logging.getLogger(__name__)
@@ -229,7 +229,8 @@ def read_archived(
     """Text rows of every table from the zip archives of ``folder``, as ``read_folder`` gives them, and
     the members that cannot be read (``path``, ``member``, ``reason``). The letters a file name begins
     with tell its table; ``categories`` maps them to table names where they differ."""
-    entries = write_and_reread(archives.archive_entries(archives.list_files(spark, folder)), "archive-entries")
+    listed = archives.archive_entries(archives.list_files(spark, folder))
+    entries = write_and_reread(archives.numbered_members(listed), "archive-entries")
     named = entries.withColumn("category", archives.category(F.col("path")))
     good = named.where("reason is null")
     sums = good.groupBy("category").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("size"))
@@ -244,10 +245,8 @@ def read_archived(
         tasks = archives.reading_tasks(
             sum(present[c].members for c in own), sum(present[c].size for c in own), cores
         )
-        lines = archives.member_lines(good.where(F.col("category").isin(own)), opts.encoding, tasks)
-        # A member is read by one task from its start, so it is one split.
-        split = lines.select(F.col(FILE).alias("file"), F.lit(0).cast("long").alias("block"), F.col(LINE).alias("value"))
-        found[name] = rows_of(records_of(split), spec, opts)
+        records = archives.member_records(good.where(F.col("category").isin(own)), opts.encoding, tasks)
+        found[name] = rows_of(records, spec, opts)
     return found, entries.where("reason is not null").select("path", "member", "reason")
 
 

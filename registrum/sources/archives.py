@@ -7,20 +7,25 @@ its lines are read: a damaged one gives no line and a row in ``archive_rejects``
 
 from __future__ import annotations
 
+import codecs
 import io
 import posixpath
 import zipfile
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registrum.session import write_and_reread
 from registrum.sources.delimited import FILE, LINE
+from registrum.sources.whole_records import POSITION, REASON, RECORD, REJECTED, records_in_order
 
+NUMBER = "number"
 UNKNOWN_CATEGORY = "desconhecido"
 BATCH_LINES = 10_000
 TASK_BYTES = 64 << 20
@@ -201,6 +206,61 @@ def _streamed(path: str, member: str, entry: int | None, encoding: str) -> Itera
                 yield _frame(path, member, label, first, buffer)
 
 
+def line_batches(data: io.BufferedIOBase, encoding: str) -> Iterator[pa.Array]:
+    """The lines of a stream without their ends, some for each piece of ``READ_BYTES``. They end with LF, CR or CRLF."""
+    marked = data.peek(3)[:3] == b"\xef\xbb\xbf"
+    decoder = codecs.getincrementaldecoder("utf-8-sig" if marked else encoding)()
+    decoder = io.IncrementalNewlineDecoder(decoder, translate=True)
+    begun: list[str] = []
+    last = False
+    while not last:
+        piece = data.read(READ_BYTES)
+        last = not piece
+        text = decoder.decode(piece, final=last)
+        end = text.rfind("\n") + 1
+        if end:
+            body = "".join([*begun, text[:end]]).encode()
+            begun = []
+            # One buffer of all lines: the ends are taken out, and each line moves up by the ends before it.
+            ends = np.flatnonzero(np.frombuffer(body, np.uint8) == 10)
+            offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+            yield pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(body.replace(b"\n", b"")))
+        begun.append(text[end:])
+    rest = "".join(begun)
+    if rest:
+        yield pa.array([rest])
+
+
+def numbered_members(entries: DataFrame) -> DataFrame:
+    """Adds ``_file``, which tells the members of one name in an archive apart, and a number. Write the result before
+    use: the numbers are not the same when they are given again."""
+    first = F.min("entry").over(Window.partitionBy("path", "member"))
+    again = F.when(F.col("entry") > first, F.concat(F.lit("#"), F.col("entry").cast("string"))).otherwise("")
+    named = entries.withColumn(FILE, F.concat("path", F.lit("!"), "member", again))
+    return named.withColumn(NUMBER, F.monotonically_increasing_id())
+
+
+def member_records(members: DataFrame, encoding: str = "latin-1", tasks: int | None = None, sep: str = ";") -> DataFrame:
+    """Records of members as ``numbered_members`` gives them, once written; columns as of ``records_of``. A task reads its members
+    from their start to their end, so it knows which lines begin inside a quote: one pass. The records carry the number of
+    their member only; the members, a row each, are broadcast to name it."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, path, entry in zip(*(batch.column(c).to_pylist() for c in (NUMBER, "path", "entry"))):
+                with open_shared(path) as raw, zipfile.ZipFile(raw) as archive:
+                    with archive.open(archive.infolist()[entry]) as data:
+                        for found in records_in_order(line_batches(data, encoding), sep):
+                            numbers = pa.repeat(pa.scalar(number, pa.int64()), len(found))
+                            yield pa.RecordBatch.from_arrays([numbers, *found.columns], [NUMBER, *RECORD.names])
+
+    schema = f"{NUMBER} long, {POSITION} long, {LINE} string, {REJECTED} string, {REASON} string"
+    listed = members.select(NUMBER, "path", "entry")
+    spread = listed.repartition(tasks) if tasks else listed.repartition(NUMBER)
+    named = spread.mapInArrow(records, schema).join(F.broadcast(members.select(NUMBER, FILE)), NUMBER)
+    return named.select(FILE, POSITION, LINE, REJECTED, REASON)
+
+
 def read_archives(
     spark: SparkSession, folder: str, encoding: str = "latin-1"
 ) -> tuple[DataFrame, DataFrame]:

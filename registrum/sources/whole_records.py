@@ -17,10 +17,13 @@ quotes, which the CSV reader drops as well.
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -233,6 +236,125 @@ def records_of(lines: DataFrame, sep: str = ";", max_lines: int = MAX_LINES) ->
     return singles.unionByName(several).unionByName(rejects)
 
 
+def _matches(text: pa.Array, pattern: str) -> np.ndarray:
+    return pc.match_substring_regex(text, pattern).to_numpy(zero_copy_only=False)
+
+
+def _opens(bare: pa.Array, sep: str) -> np.ndarray:
+    """``_ends_open`` of many lines. What follows each part of the pattern is told apart by its first
+    character, so it needs no possessive groups, which Arrow does not know."""
+    sep = re.escape(sep)
+    return _matches(bare, f'^(?:(?:"[^"]*"[^{sep}]*|[^"{sep}][^{sep}]*|){sep})*"[^"]*$')
+
+
+def _codes(bare: pa.Array, opens: np.ndarray, sep: str) -> np.ndarray:
+    """``_line_function`` of many lines that are without doubled quotes."""
+    rest = pc.replace_substring_regex(bare, f'^[^"]*"[^{re.escape(sep)}]*', "")
+    again = pc.starts_with(rest, sep).to_numpy(zero_copy_only=False) & _opens(pc.utf8_slice_codeunits(rest, 1), sep)
+    kept = ~pc.match_substring(bare, '"').to_numpy(zero_copy_only=False)
+    return np.where(opens, 1, 0) + np.where(kept | again, 2, 0)
+
+
+class _Held:
+    """Lines of a record that has not ended yet. More than ``limit`` lines go to a file, since a quote that
+    never closes holds all lines to the end of its file."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.count = limit, 0
+        self.parts: list[pa.Array] = []
+        self.file = self.writer = None
+
+    def add(self, lines: pa.Array) -> None:
+        self.count += len(lines)
+        self.parts.append(lines)
+        if self.count <= self.limit:
+            return
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+            self.writer = pa.ipc.new_stream(self.file, pa.schema([("value", pa.string())]))
+        for part in self.parts:
+            self.writer.write_batch(pa.RecordBatch.from_arrays([part], ["value"]))
+        self.parts = []
+
+    def taken(self) -> Iterator[pa.Array]:
+        """All lines in their order; then none are held."""
+        parts, file = self.parts, self.file
+        if file is not None:
+            self.writer.close()
+        self.__init__(self.limit)
+        if file is not None:
+            with file:
+                file.seek(0)
+                for batch in pa.ipc.open_stream(file):
+                    yield batch.column(0)
+        yield from parts
+
+
+RECORD = pa.schema([(POSITION, pa.int64()), (LINE, pa.string()), (REJECTED, pa.string()), (REASON, pa.string())])
+
+
+def records_in_order(
+    lines: Iterable[pa.Array], sep: str = ";", max_lines: int = MAX_LINES
+) -> Iterator[pa.RecordBatch]:
+    """``_position``, ``line``, ``_rejected`` and ``_reject_reason`` of all lines of one file, given in their
+    order and without their ends: the records that ``records_of`` makes of a file. One pass; what is held is a batch
+    and a record of at most ``max_lines`` lines."""
+    inside, begun, held = 0, 0, _Held(max_lines)
+
+    def rows(places: np.ndarray, texts: pa.Array, reason: str | None = None) -> pa.RecordBatch:
+        none = pa.nulls(len(texts), pa.string())
+        reasons = none if reason is None else pa.repeat(pa.scalar(reason), len(texts))
+        columns = [texts, none, none] if reason is None else [none, texts, reasons]
+        return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), *columns], schema=RECORD)
+
+    for value in lines:
+        if not len(value):
+            continue
+        bare = pc.replace_substring(value, '""', "")
+        opens = _opens(bare, sep)
+        blank = _matches(value, "^[ \\t\\n\\x0b\\f\\r]*$")
+        if not inside and not opens.any():  # as most batches are: every line is a record
+            kept = value.filter(pa.array(~blank)) if blank.any() else value
+            if len(kept):
+                yield rows(np.arange(begun, begun + len(kept)), kept)
+            begun += len(kept)
+            continue
+        after = _composed(_codes(bare, opens, sep), inside)
+        before = np.concatenate([[inside], after[:-1]])
+        begins = (before == 0) & ~blank
+        record = begun + np.cumsum(begins) - 1
+        alone = begins & (after == 0)
+        if alone.any():
+            yield rows(record[alone], value.filter(pa.array(alone)))
+        # The lines of a record run from one that leaves a quote open to the next that leaves none.
+        firsts = np.flatnonzero((before == 0) & (after == 1))
+        lasts = np.flatnonzero((before == 1) & (after == 0))
+        if inside:
+            firsts = np.concatenate([[0], firsts])
+        for n, first in enumerate(firsts.tolist()):
+            ended = n < len(lasts)
+            held.add(value.slice(first, (int(lasts[n]) + 1 if ended else len(value)) - first))
+            if not ended:
+                break
+            place = record[lasts[n]]
+            if held.count > max_lines:
+                for part in held.taken():
+                    yield rows(np.full(len(part), place), part, LONG_RECORD)
+            else:
+                text = "\n".join(line for part in held.taken() for line in part.to_pylist())
+                yield rows(np.array([place]), pa.array([text]))
+        inside, begun = int(after[-1]), int(record[-1]) + 1
+    if inside:
+        at = begun - 1
+        for part in held.taken():
+            if at == begun - 1:
+                yield rows(np.array([at]), part.slice(0, 1), OPEN_QUOTE)
+                at, part = at + 1, part.slice(1)
+            kept = ~_matches(part, "^[ \\t\\n\\x0b\\f\\r]*$")
+            yield rows(np.arange(at, at + len(part))[kept], part.filter(pa.array(kept)))
+            at += len(part)
+
+
 def read_rows(
     spark: SparkSession, spec: TableSpec, paths: str | Sequence[str], opts: Options = Options(), sep: str = ";"
 ) -> DataFrame:
