@@ -8,6 +8,8 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from checks.registry import Tables, check
 from registrum.operators.profile import column_stats, summary, totals
 from registrum.operators.repair import repair
 from registrum.options import Options
-from registrum.session import fresh_path
+from registrum.session import fresh_path, short_methods
 from registrum.sinks.records import metric_lines, write_json_lines, write_summary
 from registrum.sinks.sql_folder import run_sql_folder
 from registrum.sinks.tables import PART, write_by_state, write_exchange
@@ -104,26 +106,28 @@ def bad_lines_dropped(t: Tables) -> DataFrame:
 
 
 def write_archives(df: DataFrame, category: str, line: str, path: str) -> None:
-    """One zip per category and input partition."""
+    """One zip per category and batch of rows."""
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         fs, root = archives.filesystem(path)
         fs.create_dir(root, recursive=True)
         for number, batch in enumerate(batches):
-            for name, rows in batch.groupby(category):
+            for name in batch.column(0).drop_null().unique().to_pylist():
+                rows = batch.column(1).filter(pc.equal(batch.column(0), name))
                 buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-                    text = "\r\n".join(rows[line]) + "\r\n"
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+                    text = "\r\n".join(rows.to_pylist()) + "\r\n"
                     archive.writestr("data/K3241.CSV", text.encode("latin-1"))
                     archive.writestr("../outside.csv", b"never read")
                 with fs.open_output_stream(f"{root}/{name}{part}_{number}.zip") as out:
                     out.write(buffer.getvalue())
-                yield pd.DataFrame({"name": [name]})
+                yield pa.RecordBatch.from_pydict({"name": [name]})
 
-    df.select(category, line).mapInPandas(pack, "name string").count()
+    with short_methods(df.sparkSession):
+        df.select(category, line).mapInArrow(pack, "name string").count()
 
 
 def archived_customers(t: Tables) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from checks import inputs
 from registrum.operators.membership import without_violations
 from registrum.operators.repair import conform, repair
-from registrum.session import fresh_path
+from registrum.session import fresh_path, short_methods
 from registrum.specs import COMPANIES, ESTABLISHMENTS, PARTNERS, REGIMES, TableSpec
 
 
@@ -93,7 +93,8 @@ class Tables:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in WRITTEN:
             path = fresh_path(self.spark, f"checks/{name}")
-            make().write.parquet(path)
+            with short_methods(self.spark):
+                make().write.parquet(path)
             WRITTEN[key] = path
         return self.spark.read.parquet(WRITTEN[key])
 

@@ -24,7 +24,7 @@ from registrum.operators.quality import (
 )
 from registrum.operators.repair import conform, repair
 from registrum.options import Options
-from registrum.session import write_and_reread
+from registrum.session import short_methods, write_and_reread
 from registrum.sinks.records import metric_lines, write_json_lines, write_metrics, write_summary
 from registrum.sinks.tables import clustered, write_by_state, write_table
 from registrum.sources import archives
@@ -111,11 +111,12 @@ def build_table(
             raw = chunk_by_content(raw, opts.chunk_size)
     raw = raw.drop(POSITION)
     repaired = repaired_rows(raw, spec, opts, maps)
-    if opts.stage:
-        repaired = write_and_reread(repaired, spec.name)
-    records = write_and_reread(
-        with_gate(telemetry(repaired, spec, opts.level), opts), f"{spec.name}-telemetry"
-    )
+    with short_methods(raw.sparkSession):
+        if opts.stage:
+            repaired = write_and_reread(repaired, spec.name)
+        records = write_and_reread(
+            with_gate(telemetry(repaired, spec, opts.level), opts), f"{spec.name}-telemetry"
+        )
     # Without gates no chunk is gated, so nothing is looked up.
     accepted = accepted_rows(repaired, records) if opts.gates else repaired
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+METHOD_KEY = "spark.sql.codegen.hugeMethodLimit"
+METHOD_BYTES = 8000
 
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
@@ -45,6 +49,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/registrum/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """For writes of many computed columns. The JVM never compiles a method of more than 8000 bytes of code, and
+    Spark makes one of a whole stage: such a stage is run operator by operator meanwhile, whose methods are short."""
+    given = spark.conf.get(METHOD_KEY)
+    spark.conf.set(METHOD_KEY, min(int(given), METHOD_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_KEY, given)
+
+
 def write_and_reread(df: DataFrame, label: str = "staged") -> DataFrame:
     """Cut lineage with a Parquet table in the shared folder.
 

@@ -8,6 +8,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks.readers import write_archives
+from registrum import session
 from registrum.options import Options
 from registrum.plans.tables import read_archived
 from registrum.sources import archives
@@ -95,3 +97,25 @@ def test_members_are_read_once(spark, tmp_path, capsys):
         (f"les{n}.zip!d/x.csv", 3, None, None, '00000004;"open;;;;;', OPEN_QUOTE),
         (f"les{n}.zip!d/x.csv", 4, "00000005", "S", None, None),
     ]]
+
+
+def test_methods_are_short_while_tables_are_written(spark, request):
+    key = session.METHOD_KEY
+    request.addfinalizer(lambda given=spark.conf.get(key): spark.conf.set(key, given))
+    for given, meanwhile in (("65535", "8000"), ("500", "500")):
+        spark.conf.set(key, given)
+        with pytest.raises(ValueError), session.short_methods(spark):
+            assert spark.conf.get(key) == meanwhile
+            raise ValueError
+        assert spark.conf.get(key) == given
+
+
+def test_archives_of_categories(spark, tmp_path):
+    rows = [("A", "1;é"), ("B", '2;"x"'), (None, "3"), ("A", "4;")]
+    path = f"{tmp_path}/zips"
+    write_archives(spark.createDataFrame(rows, "c string, l string").coalesce(1), "c", "l", path)
+    lines, rejects = archives.read_archives(spark, path)
+    assert sorted((r.category, r.line_no, r.line) for r in lines.collect()) == [
+        ("a", 1, "1;é"), ("a", 2, "4;"), ("b", 1, '2;"x"'),
+    ]
+    assert {r.reason for r in rejects.collect()} == {"unsafe member"}
